@@ -39,12 +39,27 @@ CHANGED_SINCE = "2001-06-01"
 SEGMENT_CODES = {"BUILDING": "B", "MACHINERY": "M", "HOUSEHOLD": "H", "FURNITURE": "F"}
 
 
+def _session_cache(spark: SparkSession) -> dict:
+    """Per-session memo of opened tables and role frames: a job opens each
+    parquet table (footer read, schema) and parses the role projections once,
+    however many queries it builds from them."""
+    return spark.__dict__.setdefault("_entiprof_cache", {})
+
+
 def _t(spark: SparkSession, sf_dir: str):
-    return load_tables(spark, sf_dir)
+    cache = _session_cache(spark)
+    key = ("tables", sf_dir)
+    if key not in cache:
+        cache[key] = load_tables(spark, sf_dir)
+    return cache[key]
 
 
 def _roles(spark: SparkSession, sf_dir: str):
-    return role_frames(_t(spark, sf_dir))
+    cache = _session_cache(spark)
+    key = ("roles", sf_dir)
+    if key not in cache:
+        cache[key] = role_frames(_t(spark, sf_dir))
+    return cache[key]
 
 
 # ------------------------------------------------------------ plain-table queries
@@ -285,9 +300,31 @@ def changed_lead_ids(tables) -> DataFrame:
 
 def q32_incremental_profile(spark, sf_dir):
     t = _t(spark, sf_dir)
-    roles = role_frames(t)
-    return assemble.build_profiles(roles, since=ROLE_PERIOD_START, changed_ids=changed_lead_ids(t)).data
+    return assemble.build_profiles(
+        _roles(spark, sf_dir), since=ROLE_PERIOD_START, changed_ids=changed_lead_ids(t)
+    ).data
+
+
 
+def q33_stream_refresh(spark, sf_dir):
+    """The changed-id build as a stream: change ids derived from the orders
+    are written as two overlapping files, consumed one file per micro-batch
+    (two epochs), and the newest epoch per lead is read back. Equals q32."""
+    from entiprof.streaming.incremental import read_latest, start_refresh
+
+    t = _t(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/entiprof-stream-{uuid.uuid4().hex}"
+    changed = t["orders"].where(c("o_orderdate") >= F.lit(CHANGED_SINCE))
+    changed.where(c("o_orderstatus") == "F").select(c("o_custkey").alias("id")).coalesce(1) \
+        .write.parquet(f"{root}/ids/part=a")
+    changed.where(c("o_orderstatus") != "F").select(c("o_custkey").alias("id")).coalesce(1) \
+        .write.parquet(f"{root}/ids/part=b")
+    query = start_refresh(
+        spark, _roles(spark, sf_dir), f"{root}/ids/*", f"{root}/filter", f"{root}/data",
+        checkpoint=f"{root}/checkpoint", since=ROLE_PERIOD_START, available_now=True, max_files_per_trigger=1,
+    )
+    query.awaitTermination()
+    return read_latest(spark, f"{root}/data")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit() and callable(fn)

@@ -414,10 +414,45 @@ def candidate_language(t: Mapping[str, DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- whole build
 
 
+# Tables whose rows belong to exactly one lead, by the column naming it. In a
+# changed-id build they are cut to the changed leads before any aggregation:
+# every per-lead result depends only on that lead's rows, so the profiles of
+# the changed leads are unchanged while the work shrinks to the change set.
+LEAD_KEYED = {
+    "lead": "id",
+    "lead_extra": "lead_id",
+    "event_itv_lead": "lead_id",
+    "previous_application": "application_id",
+    "applied_job": "lead_id",
+    "recorded_candidate": "lead_id",
+    "logging": "candidate_id",
+    "interview": "candidate_id",
+    "meeting": "lead_id",
+    "event_candidate": "lead_id",
+    "campaign_contact": "lead_id",
+    "pre_attendee": "candidate_id",
+}
+
+
+def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dict[str, DataFrame]:
+    ids = changed_ids.select(F.col(changed_ids.columns[0]).alias("id")).distinct()
+    out = dict(t)
+    for name, key in LEAD_KEYED.items():
+        if name in out:
+            out[name] = restrict_to(out[name], ids, key, "id")
+    return out
+
+
 @dataclass
 class Profiles:
     filter: DataFrame
     data: DataFrame
+    materialized: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Drop persisted intermediates once both outputs are written."""
+        for df in self.materialized:
+            df.unpersist()
 
 
 def build_profiles(
@@ -440,9 +475,10 @@ def build_profiles(
     t = dict(tables)
     all_leads = t["lead"]
     if changed_ids is not None:
-        t["lead"] = restrict_to(all_leads, changed_ids, "id")
+        t = _restrict_lead_keyed(t, changed_ids)
 
     base = materialize(assemble_base(t), materialize_mode)
+    kept = [base]
     filt = project_filter(base, codes)
     data = project_data(base)
 
@@ -464,6 +500,7 @@ def build_profiles(
     data = data.join(attendee_sets(t), "lead_id", "left")
 
     star = materialize(source_star(t, codes), materialize_mode)
+    kept.append(star)
     src_filter, src_data = source_columns(star, codes)
     filt = filt.join(src_filter, "lead_id", "left")
     data = data.join(src_data, "lead_id", "left")
@@ -473,7 +510,7 @@ def build_profiles(
         filt, t["applied_job_extra"], "lead_id", "latest_apply_job_id", "applied_job_id",
         "system_attribute_key_name", CUSTOM_ORG_KEY, "custom_field_value", "job_applied_extra_org",
     )
-    return Profiles(filter=filt, data=data)
+    return Profiles(filter=filt, data=data, materialized=tuple(kept) if materialize_mode == "persist" else ())
 
 
 def write_profiles(
@@ -490,6 +527,9 @@ def write_profiles(
     if changed_ids is not None and restrict_to(tables["lead"], changed_ids, "id").isEmpty():
         return False
     prof = build_profiles(tables, codes, changed_ids, materialize_mode, since=since)
-    write_table(prof.filter, filter_path)
-    write_table(prof.data, data_path)
+    try:
+        write_table(prof.filter, filter_path)
+        write_table(prof.data, data_path)
+    finally:
+        prof.release()
     return True

@@ -54,14 +54,34 @@ def _t(spark: SparkSession, sf_dir: str):
     return cache[key]
 
 
-def _roles(spark: SparkSession, sf_dir: str):
+def _memo(spark: SparkSession, key: tuple, build):
     cache = _session_cache(spark)
-    key = ("roles", sf_dir)
     if key not in cache:
-        cache[key] = role_frames(_t(spark, sf_dir))
+        cache[key] = build()
     return cache[key]
 
 
+def _roles(spark: SparkSession, sf_dir: str):
+    return _memo(spark, ("roles", sf_dir), lambda: role_frames(_t(spark, sf_dir)))
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> assemble.Profiles:
+    """Both profile tables come from one build (as in a job that writes
+    both); q30 and q31 are its two outputs."""
+    return _memo(spark, ("profiles", sf_dir),
+                 lambda: assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START))
+
+
+def _source_parts(spark: SparkSession, sf_dir: str):
+    return _memo(spark, ("source_parts", sf_dir),
+                 lambda: assemble.source_columns(assemble.source_star(_roles(spark, sf_dir))))
+
+
+def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, ("detail", sf_dir),
+                 lambda: assemble.application_detail(_roles(spark, sf_dir), since=ROLE_PERIOD_START))
+
+
 # ------------------------------------------------------------ plain-table queries
 
 
@@ -255,9 +275,7 @@ def q13_source_star(spark, sf_dir):
 
 
 def _source_part(spark, sf_dir, part: int, column: str):
-    star = assemble.source_star(_roles(spark, sf_dir))
-    frames = assemble.source_columns(star)
-    return frames[part].select("lead_id", column)
+    return _source_parts(spark, sf_dir)[part].select("lead_id", column)
 
 
 def q14_source_name(spark, sf_dir):
@@ -277,19 +295,19 @@ def q17_event_apply_source(spark, sf_dir):
 
 
 def q18_folder(spark, sf_dir):
-    return assemble.application_detail(_roles(spark, sf_dir), since=ROLE_PERIOD_START).select("lead_id", "cem_folder")
+    return _detail(spark, sf_dir).select("lead_id", "cem_folder")
 
 
 def q20_application_detail(spark, sf_dir):
-    return assemble.application_detail(_roles(spark, sf_dir), since=ROLE_PERIOD_START)
+    return _detail(spark, sf_dir)
 
 
 def q30_filter_profile(spark, sf_dir):
-    return assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START).filter
+    return _profiles(spark, sf_dir).filter
 
 
 def q31_data_profile(spark, sf_dir):
-    return assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START).data
+    return _profiles(spark, sf_dir).data
 
 
 def changed_lead_ids(tables) -> DataFrame:

@@ -23,6 +23,9 @@ _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture for error messages costs several JVM round trips per
+    # DataFrame call; plans of the profile build make thousands of calls.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

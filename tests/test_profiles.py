@@ -63,3 +63,12 @@ def test_write_profiles_and_empty_change_set(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "f")).count() > 0
     empty_ids = spark.createDataFrame([], "id long")
     assert not assemble.write_profiles(roles, str(tmp_path / "f2"), str(tmp_path / "d2"), changed_ids=empty_ids)
+
+
+def test_stream_refresh_one_file_per_trigger_keeps_newest_epoch(spark):
+    from entiprof.plans.queries import q32_incremental_profile, run_stream_refresh
+
+    streamed = run_stream_refresh(spark, SF_SMALL, files_per_trigger=1)
+    batch = q32_incremental_profile(spark, SF_SMALL)
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0

@@ -53,9 +53,6 @@ class Codes:
     def lookup_widget_types(self) -> tuple[int, int, int]:
         return (self.wt_company_site, self.wt_erp_site, self.wt_schedule)
 
-    def __hash__(self) -> int:  # dict field: hash on the scalar codes only
-        return hash((self.company_page, self.x_referred_by, self.status_removed, self.widget_sources))
-
 
 DEFAULT_CODES = Codes()
 

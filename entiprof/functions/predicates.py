@@ -25,26 +25,31 @@ def _c(x: Column | str) -> Column:
 def valid_name_flag(name: Column | str, status: Column | str, removed: object) -> Column:
     """Three-valued flag (R2): status is not ``removed`` and the lower-cased
     name (NULL read as empty) is not empty and contains neither 'test' nor
-    'unknown'. A NULL status gives NULL unless the name test already fails."""
+    'unknown'. A NULL status gives NULL unless the name test already fails.
+
+    ``ilike(x, p)`` is ``lower(x) LIKE lower(p)``; the name is lower-cased
+    once here and matched with ``like``, so long texts are not lower-cased
+    once per pattern."""
     lname = F.lower(F.coalesce(_c(name), F.lit("")))
     return (
         (_c(status) != F.lit(removed))
         & (lname != F.lit(""))
-        & ~lname.ilike(NAME_TEST_PATTERN)
-        & ~lname.ilike(NAME_UNKNOWN_PATTERN)
+        & ~lname.like(NAME_TEST_PATTERN.lower())
+        & ~lname.like(NAME_UNKNOWN_PATTERN.lower())
     )
 
 
 def source_lead_predicate(name: Column | str, status: Column | str, removed: object) -> Column:
     """Row filter of the source star (P10). Unlike ``valid_name_flag`` a NULL
     name or status drops the row, and only names *starting* with 'Unknow' are
-    rejected."""
+    rejected (case-insensitive matches on one lower-cased copy)."""
     n = _c(name)
+    lname = F.lower(n)
     return (
         (_c(status) != F.lit(removed))
         & (n != F.lit(""))
-        & ~n.ilike(SOURCE_FILTER_TEST_PATTERN)
-        & ~n.ilike(SOURCE_FILTER_UNKNOWN_PREFIX)
+        & ~lname.like(SOURCE_FILTER_TEST_PATTERN.lower())
+        & ~lname.like(SOURCE_FILTER_UNKNOWN_PREFIX.lower())
     )
 
 

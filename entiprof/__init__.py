@@ -8,6 +8,6 @@ lookup fallbacks and priority-ordered source classification.
 """
 
 from entiprof.codes import Codes
-from entiprof.session import build_session, ensure_checkpoint_dir
+from entiprof.session import build_session, cluster_settings, ensure_checkpoint_dir
 
-__all__ = ["Codes", "build_session", "ensure_checkpoint_dir"]
+__all__ = ["Codes", "build_session", "cluster_settings", "ensure_checkpoint_dir"]

@@ -41,6 +41,43 @@ def build_session(master: str = "local[8]", app_name: str = "entiprof", **conf:
     return spark
 
 
+def cluster_settings(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    max_partitions: int = 65536,
+) -> dict[str, str]:
+    """Session settings for a profile build over ``input_bytes`` of parquet.
+
+    The initial shuffle partition count is sized so that the widest exchange
+    (roughly the input volume) lands near ``target_partition_bytes`` per
+    partition, never below two waves of the cluster's task slots and never
+    above ``max_partitions`` (map tasks x reduce partitions is the number of
+    shuffle blocks; exchanges carry projected columns, far less than the raw
+    input, so the cap still leaves partitions near the target); AQE
+    then coalesces small stages and splits skewed partitions (a partition is
+    skewed above 5x the median and above the target size). File splits
+    follow the same target so a scan task reads about one partition's worth.
+    Broadcasts keep Spark's default size limit: only sides measured smaller
+    than it at run time are broadcast.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    target = str(target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": target,
+        "spark.sql.files.maxPartitionBytes": target,
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint directory.
 

@@ -84,3 +84,13 @@ def test_sum_count_null_as_zero(spark):
     df = spark.createDataFrame([(1, 1, None, "x"), (1, 2, 5, "x"), (1, 3, 7, "")], "k int, id int, d int, e string")
     got = sum_count(df, "k", "d", "id", F.col("e") != "", "total", "n").first()
     assert (got.total, got.n) == (5, 2)
+
+
+def test_cluster_settings_scale_with_input():
+    from entiprof.session import cluster_settings
+
+    big = cluster_settings(100 * 1024**4, executors=1000, cores_per_executor=16)
+    assert int(big["spark.sql.shuffle.partitions"]) == 65536  # capped
+    small = cluster_settings(1024**3, executors=1000, cores_per_executor=16)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32000  # two waves of 16k slots
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

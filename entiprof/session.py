@@ -19,6 +19,12 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast limits (see cluster_settings): the static planner, which
+    # estimates from compressed file sizes, only broadcasts tiny tables;
+    # AQE broadcasts a side whose shuffle output is measured under 10 MB,
+    # else the join stays a sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": "1048576",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -59,8 +65,12 @@ def cluster_settings(
     then coalesces small stages and splits skewed partitions (a partition is
     skewed above 5x the median and above the target size). File splits
     follow the same target so a scan task reads about one partition's worth.
-    Broadcasts keep Spark's default size limit: only sides measured smaller
-    than it at run time are broadcast.
+    Broadcast limits: the static planner estimates from compressed file
+    sizes, so it may only broadcast tiny tables (under 1 MB estimated, small
+    even after a 10x decompression) and the large side of such a join is
+    never shuffled; any other side is broadcast only when AQE has measured
+    its shuffle output under 10 MB, otherwise the join stays a sort-merge
+    join.
     """
     slots = max(1, executors * cores_per_executor)
     partitions = max(2 * slots, min(max_partitions, -(-input_bytes // target_partition_bytes)))
@@ -75,6 +85,8 @@ def cluster_settings(
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": target,
         "spark.sql.files.maxPartitionBytes": target,
+        "spark.sql.autoBroadcastJoinThreshold": "1048576",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     }
 
 

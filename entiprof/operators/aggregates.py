@@ -150,10 +150,35 @@ def sorted_set_text(col: str | Column, sep: str = ",") -> Column:
 
 
 def set_concat(
-    df: DataFrame, keys: str | Sequence[str], cols: Mapping[str, str], sep: str = ","
+    df: DataFrame,
+    keys: str | Sequence[str],
+    cols: Mapping[str, str],
+    sep: str = ",",
+    method: str = "distinct_first",
 ) -> DataFrame:
     """Per group: for each input column (mapped to an output name) the
-    sorted distinct values joined by ``sep``. ``collect_set`` keeps a set per
-    group in the partial aggregate, so duplicates are dropped before the
-    exchange."""
-    return df.groupBy(*_keys(keys)).agg(*[sorted_set_text(c, sep).alias(a) for c, a in cols.items()])
+    sorted distinct values joined by ``sep``; '' when a column has no value.
+
+    ``distinct_first`` (default) turns rows into ``(keys, column, value)``
+    and de-duplicates them in an exchange hashed on the value as well, so a
+    group holding a large share of the rows is spread over many reducers;
+    the per-group step then receives each distinct value once, which is the
+    size of its output. ``collect_set`` is the one-exchange form: each map
+    task sends its partial set per group, so a hot group receives one set
+    per map task."""
+    ks = _keys(keys)
+    pairs = list(cols.items())
+    if method == "collect_set":
+        return df.groupBy(*ks).agg(*[sorted_set_text(c, sep).alias(a) for c, a in pairs])
+    if method != "distinct_first":
+        raise ValueError(f"unknown method {method!r}")
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("__c"), F.col(c).cast("string").alias("__v")) for i, (c, _) in enumerate(pairs)
+    ])
+    # NULL values stay (one per group and column after the distinct) so that a
+    # group whose values are all NULL still appears, with ''.
+    long = df.select(*ks, F.inline(cells)).distinct()
+    return long.groupBy(*ks).agg(*[
+        F.concat_ws(sep, F.array_sort(F.collect_list(F.when(F.col("__c") == i, F.col("__v"))))).alias(a)
+        for i, (_, a) in enumerate(pairs)
+    ])

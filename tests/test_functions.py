@@ -94,3 +94,16 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(1024**3, executors=1000, cores_per_executor=16)
     assert int(small["spark.sql.shuffle.partitions"]) == 32000  # two waves of 16k slots
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_set_concat_methods_agree(spark):
+    rows = [(g % 7, None if i % 5 == 0 else f"v{i % 13}", i % 4 if i % 3 else None) for g in range(40)
+            for i in range(g)]
+    rows += [(99, None, None)]  # a group with only NULLs
+    df = spark.createDataFrame(rows, "g int, a string, b int")
+    cols = {"a": "as", "b": "bs"}
+    d = set_concat(df, "g", cols)
+    c = set_concat(df, "g", cols, method="collect_set")
+    assert d.count() == c.count() == 8
+    assert d.exceptAll(c).count() == 0 and c.exceptAll(d).count() == 0
+    assert {r.g: (r["as"], r.bs) for r in d.collect()}[99] == ("", "")

@@ -201,7 +201,12 @@ def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES,
     ]
     j = join_chain(t["lead"], "l", steps)
     valid = c("app.is_valid")
-    not_invalid = lambda value: F.when(valid == 0, F.lit(None)).otherwise(value)
+
+    def not_invalid(value):
+        """NULL for an invalid application; otherwise (valid, other, or no
+        application at all) the value."""
+        return F.when(valid == 0, F.lit(None)).otherwise(value)
+
     return j.select(
         c("l.id").alias("lead_id"),
         when_flag(valid, c("app.id")).alias("job_applied_valid_id"),

@@ -19,6 +19,9 @@ def test_profile_schemas(spark):
     assert prof.filter.columns[:3] == ["lead_id", "company_id", "long_id"]
     assert prof.filter.columns[-1] == "job_applied_extra_org"
     assert prof.data.columns[-1] == "candidate_language"
+    detail = assemble.application_detail(_roles(spark, SF_SMALL), since=ROLE_PERIOD_START)
+    assert tuple(detail.columns) == ("lead_id", *assemble.APPLICATION_COLUMNS)
+    assert tuple(prof.filter.columns[45:63]) == assemble.APPLICATION_COLUMNS
 
 
 def test_application_detail_nulls_and_fallbacks(spark):

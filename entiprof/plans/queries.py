@@ -324,6 +324,51 @@ def q32_incremental_profile(spark, sf_dir):
 
 
 
+def q34_attendee_sets(spark, sf_dir):
+    return assemble.attendee_sets(_roles(spark, sf_dir))
+
+
+def q35_candidate_language(spark, sf_dir):
+    return assemble.candidate_language(_roles(spark, sf_dir))
+
+
+def q36_repeat_profiles(spark, sf_dir):
+    roles = _roles(spark, sf_dir)
+    return assemble.repeat_profiles(roles["lead"], roles)
+
+
+def q37_recorded_counts(spark, sf_dir):
+    return assemble.recorded_counts(_roles(spark, sf_dir))
+
+
+def q38_journey_completed(spark, sf_dir):
+    return assemble.journey_completed(_roles(spark, sf_dir))
+
+
+def q39_last_interview(spark, sf_dir):
+    return assemble.last_interview(_roles(spark, sf_dir))
+
+
+def q40_meeting_totals(spark, sf_dir):
+    return assemble.meeting_totals(_roles(spark, sf_dir))
+
+
+def q41_supplier_sets(spark, sf_dir):
+    """Set concatenation over a join chain: suppliers with their nation and
+    (for the first three regions) region, per region key."""
+    t = _t(spark, sf_dir)
+    steps = [
+        JoinStep(t["nation"], "n", c("s.s_nationkey") == c("n.n_nationkey"), "inner"),
+        JoinStep(t["region"], "r", (c("n.n_regionkey") == c("r.r_regionkey")) & (c("r.r_regionkey") < 3)),
+    ]
+    flat = join_chain(t["supplier"], "s", steps).select(
+        c("n.n_regionkey").alias("n_regionkey"), c("s.s_suppkey").alias("s_suppkey"),
+        c("n.n_name").alias("n_name"), c("r.r_name").alias("r_name"),
+    )
+    return set_concat(flat, "n_regionkey", {"s_suppkey": "supplier_keys", "n_name": "nation_names",
+                                            "r_name": "region_names"})
+
+
 def run_stream_refresh(spark, sf_dir, files_per_trigger: int | None = None) -> DataFrame:
     """The changed-id build as a stream over change-id files derived from the
     orders (two overlapping files), read back as the newest epoch per lead."""

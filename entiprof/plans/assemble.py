@@ -445,6 +445,10 @@ def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dic
     for name, key in LEAD_KEYED.items():
         if name in out:
             out[name] = restrict_to(out[name], ids, key, "id")
+    # messages belong to a lead through their recorded-interview parent
+    if "recorded_message" in out and "recorded_candidate" in out:
+        parents = out["recorded_candidate"].select("id")
+        out["recorded_message"] = restrict_to(out["recorded_message"], parents, "recorded_itv_candidate_id", "id")
     return out
 
 

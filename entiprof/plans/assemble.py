@@ -480,7 +480,10 @@ def build_profiles(
     the changed leads, so an incremental row equals the full-run row.
 
     ``materialize_mode`` ('checkpoint' / 'persist') cuts the lineage of the
-    frames that feed both outputs (base join, source star)."""
+    frames that feed both outputs (base join, source star) and persists the
+    filter profile where it is read twice (by the repeat lookup, and by the
+    attribute self re-join); ``Profiles.release`` drops them after the
+    writes."""
     t = dict(tables)
     all_leads = t["lead"]
     if changed_ids is not None:
@@ -491,9 +494,14 @@ def build_profiles(
     filt = project_filter(base, codes)
     data = project_data(base)
 
+    # Frames read more than once are persisted when the build is materialised:
+    # the recompute of a lost block then stops at the checkpointed base / star.
+    reuse_mode = "persist" if materialize_mode else None
+
     filt = filt.join(latest_application(t, latest_method), "lead_id", "left")
     filt = filt.join(recorded_counts(t), "lead_id", "left")
-    filt = filt.join(application_detail(t, codes, since), "lead_id", "left")
+    filt = materialize(filt.join(application_detail(t, codes, since), "lead_id", "left"), reuse_mode)
+    kept.append(filt)
 
     data = data.join(journey_completed(t), "lead_id", "left")
     data = data.join(last_interview(t), "lead_id", "left")
@@ -515,11 +523,13 @@ def build_profiles(
     data = data.join(src_data, "lead_id", "left")
     data = data.join(candidate_language(t), "lead_id", "left")
 
+    filt = materialize(filt, reuse_mode)
+    kept.append(filt)
     filt = attribute_lookup(
         filt, t["applied_job_extra"], "lead_id", "latest_apply_job_id", "applied_job_id",
         "system_attribute_key_name", CUSTOM_ORG_KEY, "custom_field_value", "job_applied_extra_org",
     )
-    return Profiles(filter=filt, data=data, materialized=tuple(kept) if materialize_mode == "persist" else ())
+    return Profiles(filter=filt, data=data, materialized=tuple(kept) if materialize_mode else ())
 
 
 def write_profiles(

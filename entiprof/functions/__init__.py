@@ -10,6 +10,7 @@ from entiprof.functions.classify import (
 from entiprof.functions.predicates import (
     epoch_seconds,
     first_non_blank,
+    is_ntz,
     is_present,
     json_equals,
     json_flag,
@@ -23,6 +24,6 @@ from entiprof.functions.predicates import (
 
 __all__ = [
     "SourceInputs", "apply_source", "cem_folder", "epoch_seconds", "event_apply_source", "event_source_name",
-    "first_non_blank", "is_present", "json_equals", "json_flag", "literal_map", "map_lookup", "source_lead_predicate",
+    "first_non_blank", "is_ntz", "is_present", "json_equals", "json_flag", "literal_map", "map_lookup", "source_lead_predicate",
     "source_name", "span_seconds", "valid_name_flag", "when_flag", "widget_type_key",
 ]

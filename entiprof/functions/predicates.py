@@ -89,14 +89,33 @@ def map_lookup(mapping: Mapping[str, str], key: Column | str) -> Column:
     return literal_map(mapping)[_c(key)]
 
 
-def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since the epoch (floor), for timestamp or timestamp_ntz."""
-    return _c(ts).cast("timestamp").cast("long")
+def epoch_seconds(ts: Column | str, ntz: bool = False) -> Column:
+    """Whole seconds since the epoch (floor).
+
+    A zone-aware timestamp is an instant: cast to seconds. A timestamp_ntz is
+    a wall-clock value: its seconds are counted as if it were UTC, from its
+    date and time parts, so the result does not depend on the session time
+    zone (a cast would go through it, and daylight-saving changes would shift
+    spans by an hour)."""
+    col = _c(ts)
+    if not ntz:
+        return col.cast("timestamp").cast("long")
+    return (
+        F.unix_date(F.to_date(col)).cast("long") * F.lit(86400)
+        + F.hour(col) * F.lit(3600)
+        + F.minute(col) * F.lit(60)
+        + F.second(col)
+    )
 
 
-def span_seconds(first: Column | str, last: Column | str) -> Column:
+def span_seconds(first: Column | str, last: Column | str, ntz: bool = False) -> Column:
     """``last - first`` with each end floored to whole seconds first."""
-    return epoch_seconds(last) - epoch_seconds(first)
+    return epoch_seconds(last, ntz) - epoch_seconds(first, ntz)
+
+
+def is_ntz(df, column: str) -> bool:
+    """Whether ``column`` of ``df`` is a timestamp without time zone."""
+    return df.schema[column].dataType.typeName() == "timestamp_ntz"
 
 
 def when_flag(flag: Column | str, value: Column | str, equals: int = 1) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiprof.functions.predicates import span_seconds
+from entiprof.functions.predicates import is_ntz, span_seconds
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -35,8 +35,9 @@ def conditional_span(
         F.min(F.when(is_answer, F.col(ts))).alias("__first"),
         F.max(F.when(is_answer, F.col(ts))).alias("__last"),
     )
+    ntz = is_ntz(df, ts)
     return agg.select(
-        key, question_alias, answer_alias, span_seconds("__first", "__last").alias(span_alias)
+        key, question_alias, answer_alias, span_seconds("__first", "__last", ntz).alias(span_alias)
     )
 
 
@@ -78,8 +79,9 @@ def conditional_span_joined(
         F.min("__first").alias("__first"),
         F.max("__last").alias("__last"),
     )
+    ntz = is_ntz(children, ts)
     return per_group.select(
-        group_key, question_alias, answer_alias, span_seconds("__first", "__last").alias(span_alias)
+        group_key, question_alias, answer_alias, span_seconds("__first", "__last", ntz).alias(span_alias)
     )
 
 

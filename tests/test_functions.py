@@ -107,3 +107,16 @@ def test_set_concat_methods_agree(spark):
     assert d.count() == c.count() == 8
     assert d.exceptAll(c).count() == 0 and c.exceptAll(d).count() == 0
     assert {r.g: (r["as"], r.bs) for r in d.collect()}[99] == ("", "")
+
+
+def test_ntz_spans_do_not_depend_on_session_zone(spark):
+    from tests.test_scale import conf
+
+    a = dt.datetime(2024, 3, 9, 12, 0, 0, 900000)
+    b = dt.datetime(2024, 3, 11, 12, 0, 2, 100000)  # across the US daylight-saving change
+    df = spark.createDataFrame([(a, b)], "a timestamp_ntz, b timestamp_ntz")
+    got = []
+    for zone in ("UTC", "America/Los_Angeles"):
+        with conf(spark, **{"spark.sql.session.timeZone": zone}):
+            got.append(df.select(span_seconds("a", "b", ntz=True).alias("s")).first().s)
+    assert got == [2 * 86400 + 2, 2 * 86400 + 2]

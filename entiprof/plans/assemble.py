@@ -54,19 +54,29 @@ c = F.col
 # ---------------------------------------------------------------- base
 
 
+# Lead columns the join conditions of the base chain read.
+_BASE_KEYS = ("id", "company_id", "candidate_profile_id", "job_loc_id")
+
+
 def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Lead left-joined to twelve tables. The three joins keyed on the lead
-    id come first so one hash partitioning of the lead serves all three;
-    the remaining order respects the column dependencies of the conditions
-    (left joins that only reference the lead and their own side commute)."""
+    """Lead left-joined to twelve tables (R1), narrow first, wide last.
+
+    The chain runs on a narrow frame holding only the lead's join keys
+    (alias ``lk``), so the shuffles of the shuffled joins move a few key
+    columns instead of the whole lead row; the lead's other attributes are
+    attached once at the end by its primary key ``id`` (alias ``lead``),
+    which cannot change the row count. The joins keyed on the lead id run
+    last, so that final join reuses their hash partitioning. Left joins whose
+    conditions read only the lead and their own side commute, so this order
+    gives the same rows as the original's."""
+    lead = t["lead"]
+    keys = lead.select(*_BASE_KEYS)
     steps = [
-        JoinStep(t["lead_extra"], "extra", c("lead.id") == c("extra.lead_id")),
-        JoinStep(t["event_itv_lead"], "eitv", c("lead.id") == c("eitv.lead_id")),
-        JoinStep(t["previous_application"], "prev", c("lead.id") == c("prev.application_id")),
-        JoinStep(t["candidate_profile"], "profile", c("lead.candidate_profile_id") == c("profile.id")),
+        JoinStep(t["lead_extra"], "extra", c("lk.id") == c("extra.lead_id")),
+        JoinStep(t["candidate_profile"], "profile", c("lk.candidate_profile_id") == c("profile.id")),
         JoinStep(
             t["journey_stage"], "jstage",
-            (c("extra.journey_stage_id") == c("jstage.id")) & (c("lead.company_id") == c("jstage.company_id")),
+            (c("extra.journey_stage_id") == c("jstage.id")) & (c("lk.company_id") == c("jstage.company_id")),
         ),
         JoinStep(
             t["stage_status"], "sstatus",
@@ -74,9 +84,9 @@ def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
         ),
         JoinStep(
             t["company_area"], "area",
-            (c("lead.job_loc_id") == c("area.job_loc_id")) & (c("lead.company_id") == c("area.company_id")),
+            (c("lk.job_loc_id") == c("area.job_loc_id")) & (c("lk.company_id") == c("area.company_id")),
         ),
-        JoinStep(t["job_loc"], "jl", (c("lead.job_loc_id") == c("jl.id")) & (c("jl.is_deleted") == 0)),
+        JoinStep(t["job_loc"], "jl", (c("lk.job_loc_id") == c("jl.id")) & (c("jl.is_deleted") == 0)),
         JoinStep(t["job"], "job", (c("extra.job_req_id") == c("job.job_req_id")) & (c("job.base_id") > 0)),
         JoinStep(
             t["job_location"], "jloc",
@@ -89,8 +99,11 @@ def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
             & (c("job.job_req_id") == c("live.job_req_id"))
             & (c("jl.id") == c("live.job_loc_id")),
         ),
+        JoinStep(t["event_itv_lead"], "eitv", c("lk.id") == c("eitv.lead_id")),
+        JoinStep(t["previous_application"], "prev", c("lk.id") == c("prev.application_id")),
     ]
-    return join_chain(t["lead"], "lead", steps)
+    narrow = join_chain(keys, "lk", steps)
+    return narrow.join(lead.alias("lead"), c("lk.id") == c("lead.id"), "inner")
 
 
 # Output column names of the two projections are the profile schema (fixed).

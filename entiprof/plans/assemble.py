@@ -47,7 +47,7 @@ from entiprof.operators.aggregates import conditional_span_joined, group_maxes,
 from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 from entiprof.sources.sinks import materialize, write_table
-from entiprof.sources.tables import restrict_to
+from entiprof.sources.tables import has_rows, restrict_to
 
 c = F.col
 
@@ -556,7 +556,7 @@ def write_profiles(
 ) -> bool:
     """Build and write both profiles (S5, S6). Returns False without writing
     when a changed-id run has no leads (S4)."""
-    if changed_ids is not None and restrict_to(tables["lead"], changed_ids, "id").isEmpty():
+    if changed_ids is not None and not has_rows(restrict_to(tables["lead"], changed_ids, "id")):
         return False
     prof = build_profiles(tables, codes, changed_ids, materialize_mode, since=since)
     try:

@@ -499,11 +499,16 @@ def build_profiles(
     writes."""
     t = dict(tables)
     all_leads = t["lead"]
+    kept: list[DataFrame] = []
     if changed_ids is not None:
         t = _restrict_lead_keyed(t, changed_ids)
+        if materialize_mode:
+            # S3: the restricted lead table feeds six branches of the build
+            t["lead"] = materialize(t["lead"], "persist")
+            kept.append(t["lead"])
 
     base = materialize(assemble_base(t), materialize_mode)
-    kept = [base]
+    kept.append(base)
     filt = project_filter(base, codes)
     data = project_data(base)
 

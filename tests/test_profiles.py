@@ -75,3 +75,22 @@ def test_stream_refresh_one_file_per_trigger_keeps_newest_epoch(spark):
     batch = q32_incremental_profile(spark, SF_SMALL)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_job_reads_tables_by_name_and_writes_both_profiles(spark, tmp_path):
+    from entiprof import job
+    from entiprof.plans.roles import ROLES
+
+    assert set(job.ROLE_TABLES) == set(ROLES)
+    roles = _roles(spark, SF_SMALL)
+    tables_dir = tmp_path / "tables"
+    for name in job.ROLE_TABLES:
+        roles[name].write.parquet(str(tables_dir / f"{name}.parquet"))
+    assert job.run(spark, str(tables_dir), str(tmp_path / "out"), since=ROLE_PERIOD_START)
+    expected = assemble.build_profiles(roles, since=ROLE_PERIOD_START)
+    for part, folder in (("filter", "filter_profile"), ("data", "data_profile")):
+        got = spark.read.parquet(str(tmp_path / "out" / folder))
+        want = getattr(expected, part)
+        assert got.columns == want.columns
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -120,3 +120,12 @@ def test_ntz_spans_do_not_depend_on_session_zone(spark):
         with conf(spark, **{"spark.sql.session.timeZone": zone}):
             got.append(df.select(span_seconds("a", "b", ntz=True).alias("s")).first().s)
     assert got == [2 * 86400 + 2, 2 * 86400 + 2]
+
+
+def test_restrict_to_is_a_semi_join(spark):
+    from entiprof.sources.tables import restrict_to
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+    ids = spark.createDataFrame([(1,), (1,), (1,), (None,), (5,)], "id long")
+    got = sorted((r.k, r.v) for r in restrict_to(df, ids, "k", "id").collect())
+    assert got == [(1, "a"), (1, "b")]  # duplicates in the id set do not multiply; NULL matches nothing

@@ -46,7 +46,7 @@ from entiprof.functions.predicates import (
 from entiprof.operators.aggregates import conditional_span_joined, group_maxes, joined_max, repeat_entities, set_concat, sum_count
 from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
-from entiprof.sources.sinks import materialize, write_table
+from entiprof.sources.sinks import materialize, write_tables
 from entiprof.sources.tables import has_rows, restrict_to
 
 c = F.col
@@ -565,8 +565,7 @@ def write_profiles(
         return False
     prof = build_profiles(tables, codes, changed_ids, materialize_mode, since=since)
     try:
-        write_table(prof.filter, filter_path)
-        write_table(prof.data, data_path)
+        write_tables([(prof.filter, filter_path), (prof.data, data_path)])
     finally:
         prof.release()
     return True

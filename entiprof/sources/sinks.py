@@ -16,6 +16,23 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.parquet(path)
 
 
+def write_tables(outputs: list[tuple[DataFrame, str]], mode: str = "overwrite", parallel: bool = True) -> None:
+    """Write several frames. With ``parallel`` the writes are submitted as
+    concurrent jobs from driver threads, so the scheduler interleaves their
+    stages (small stages of one job fill the idle cores of the other); a
+    failure of any write is raised after all have finished."""
+    if not parallel or len(outputs) < 2:
+        for df, path in outputs:
+            write_table(df, path, mode)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+        futures = [pool.submit(write_table, df, path, mode) for df, path in outputs]
+    for f in futures:
+        f.result()
+
+
 def materialize(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
     """Cut the lineage of a frame that feeds several outputs.
 

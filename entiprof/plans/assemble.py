@@ -47,7 +47,7 @@ from entiprof.operators.aggregates import conditional_span_joined, group_maxes,
 from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 from entiprof.sources.sinks import materialize, write_tables
-from entiprof.sources.tables import has_rows, restrict_to
+from entiprof.sources.tables import bounded_id_set, has_rows, restrict_to
 
 c = F.col
 
@@ -453,12 +453,16 @@ LEAD_KEYED = {
 
 
 def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dict[str, DataFrame]:
-    ids = changed_ids.select(F.col(changed_ids.columns[0]).alias("id")).distinct()
+    # One counting job decides whether the change set is broadcast: a checked
+    # size bound, so the big lead-keyed tables are filtered where they are
+    # read instead of being shuffled for a sort-merge semi-join.
+    ids, small = bounded_id_set(changed_ids)
     out = dict(t)
     for name, key in LEAD_KEYED.items():
         if name in out:
-            out[name] = restrict_to(out[name], ids, key, "id")
-    # messages belong to a lead through their recorded-interview parent
+            out[name] = restrict_to(out[name], ids, key, "id", broadcast_ids=small)
+    # messages belong to a lead through their recorded-interview parent; the
+    # parent set is not size-checked, so that join is left to the planner
     if "recorded_message" in out and "recorded_candidate" in out:
         parents = out["recorded_candidate"].select("id")
         out["recorded_message"] = restrict_to(out["recorded_message"], parents, "recorded_itv_candidate_id", "id")

@@ -94,3 +94,14 @@ def test_no_cartesian_or_nested_loop_in_profiles(spark):
 def test_period_filter_reaches_the_scan(spark):
     plan = Q.QUERIES["q04_latest_preferred_since"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate,1997-07-01" in plan
+
+
+def test_changed_id_semi_joins_are_broadcast_up_front(spark):
+    import re
+
+    df = Q.QUERIES["q32_incremental_profile"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    semi = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[[^\]]*\], \[[^\]]*__restrict_key[^\]]*\], LeftSemi", initial)
+    assert len(semi) >= 12
+    assert all(kind == "BroadcastHashJoin" for kind in semi)

@@ -94,3 +94,45 @@ def test_job_reads_tables_by_name_and_writes_both_profiles(spark, tmp_path):
         assert got.columns == want.columns
         assert got.count() == want.count() > 0
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_application_detail_fallback_chain_on_hand_rows(spark):
+    import datetime as dt
+
+    d = dt.datetime(2022, 3, 1)
+    t = {
+        "lead": spark.createDataFrame(
+            [(1, 5, 0, 0, 0, 3, "2", 1, 9), (2, 5, 0, 0, 0, 3, "x", 1, 9), (3, 5, 0, 0, 0, 3, "1", 1, 9),
+             (4, 5, 0, 0, 0, 3, "1", 1, 9)],
+            "id long, company_id int, web_id long, referred_by long, apply_type int, source int, "
+            "interview_type string, schedule_by int, interview_jobloc_id long"),
+        "lead_extra": spark.createDataFrame(
+            [(1, "", "extra title 1"), (2, "R2", ""), (3, "R3", "t3"), (4, "R4", "t4")],
+            "lead_id long, job_req_id string, job_title string"),
+        "job": spark.createDataFrame([(10, "R2", 1, "job two"), (11, "R3", 0, "ignored: base_id 0")],
+                                     "id long, job_req_id string, base_id long, name string"),
+        "applied_job": spark.createDataFrame(
+            [(100, 3, 1, d, "", "", "", "c", "s", 1, 7, 8, None),
+             (101, 4, 0, d, "AR", "RQ", "invalid title", "c", "s", 1, 7, 8, '{"is_internal_job_feed": "true"}')],
+            "id long, lead_id long, is_valid int, created_at timestamp, job_req_id string, requisition_id string, "
+            "job_title string, city string, state string, chat_to_apply_type int, job_loc_id long, job_id long, "
+            "extra_data string"),
+        "widget": spark.createDataFrame([], "id long, company_id int, widget_type int"),
+        "applied_job_extension": spark.createDataFrame([(100, "short")], "applied_job_id long, shorten_job_id string"),
+    }
+    rows = {r.lead_id: r for r in assemble.application_detail(t, since="2021-07-01").collect()}
+    # no application, blank extra requisition, no job match: falls through to the extra values as they are
+    assert (rows[1].job_applied_log_job_requisition_id, rows[1].job_applied_log_job_title) == ("", "extra title 1")
+    assert rows[1].is_internal_job_feed is None and rows[1].job_applied_valid_id is None
+    # no application: requisition from the job (base_id > 0); title from the job name
+    assert (rows[2].job_applied_log_job_requisition_id, rows[2].job_applied_log_job_title) == ("R2", "job two")
+    assert rows[2].lead_interview_type is None  # 'x' is not an int
+    # valid application with blank fields: job with base_id 0 does not join, so the extra values are used
+    assert (rows[3].job_applied_log_job_requisition_id, rows[3].job_applied_log_job_title) == ("R3", "t3")
+    assert (rows[3].job_applied_valid_id, rows[3].job_applied_shorten_job_id, rows[3].is_internal_job_feed) == (
+        100, "short", False)
+    # invalid application: the fallback columns are NULL and the valid-only columns too
+    assert rows[4].job_applied_log_job_requisition_id is None and rows[4].job_applied_log_job_title is None
+    assert rows[4].job_applied_valid_id is None and rows[4].job_applied_reapply_requisition_id == "RQ"
+    assert rows[4].is_internal_job_feed is True
+    assert all(r.cem_folder == 3 for r in rows.values())  # no referral / event / page: the raw source

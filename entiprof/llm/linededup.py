@@ -100,7 +100,7 @@ def _seeds(prints: DataFrame, line: int, window: int) -> DataFrame:
 
 
 def _sides(docs: DataFrame, ends: DataFrame, reach: int) -> DataFrame:
-    """For distinct places (key, a, e): the hashes of up to ``reach`` words before a, nearest first, and from e on."""
+    """For distinct places (key, a, e): the 32-bit hashes of up to ``reach`` words before a, nearest first, and from e on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -109,7 +109,7 @@ def _sides(docs: DataFrame, ends: DataFrame, reach: int) -> DataFrame:
             for lo, hi, data, bounds in text_blocks(b):
                 words, first = row_words(data, bounds, lower=False)
                 for r in range(lo, hi):
-                    own = words[first[r - lo] : first[r - lo + 1]]
+                    own = (words[first[r - lo] : first[r - lo + 1]] >> U(32)).astype(np.uint32)
                     for x in asked[r]:
                         out.append((keys[r], x["a"], x["e"], own[max(0, x["a"] - reach) : x["a"]][::-1].tobytes(), own[x["e"] : x["e"] + reach].tobytes()))
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -123,7 +123,7 @@ def _sides(docs: DataFrame, ends: DataFrame, reach: int) -> DataFrame:
 def _common(x: pa.Array, y: pa.Array) -> list[int]:
     out = []
     for p, q in zip(x.to_pylist(), y.to_pylist()):
-        a, b = np.frombuffer(p, U), np.frombuffer(q, U)
+        a, b = np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32)
         n = min(len(a), len(b))
         differ = np.flatnonzero(a[:n] != b[:n])
         out.append(int(differ[0]) if len(differ) else n)
@@ -136,7 +136,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     seeds = stored(_seeds(stored(_prints(docs, line, window), "line-prints"), line, window), "line-seeds")
     here = seeds.select("key", "a", "e")
     there = seeds.select(F.col("key0").alias("key"), F.col("a0").alias("a"), F.col("e0").alias("e"))
-    sides = stored(_sides(docs, stored(here.unionByName(there).distinct(), "line-ends"), window), "line-sides")
+    # a neighbouring fingerprint may have occurred first in another text, so a run can go on for more than a window
+    sides = stored(_sides(docs, stored(here.unionByName(there).distinct(), "line-ends"), 2 * min_run), "line-sides")
     x = sides.select("key", "a", "e", F.col("before").alias("b"), F.col("after").alias("f"))
     y = sides.select(F.col("key").alias("key0"), F.col("a").alias("a0"), F.col("e").alias("e0"), F.col("before").alias("b0"), F.col("after").alias("f0"))
 

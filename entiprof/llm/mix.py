@@ -116,10 +116,12 @@ def balanced(rows: DataFrame) -> DataFrame:
     decided = []
     open_rows = rows
     while True:
-        most = open_rows.groupBy("source_key").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        blocks = -(-most // BLOCK)
-        per_source = open_rows.groupBy("source_key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        counts = {r["source_key"]: r["n"] for r in open_rows.groupBy("source_key").agg(F.count("*").alias("n")).collect()}
+        blocks = max((-(-n // BLOCK) for n in counts.values()), default=0)
+        per_source = rows.sparkSession.createDataFrame([(k, -(-n // BLOCK)) for k, n in counts.items()], "source_key int, blocks long")
         dealt = open_rows.drop("block").join(per_source, "source_key").withColumn("block", F.expr("pmod(xxhash64(h, 7), blocks)")).drop("blocks")
+        # by both columns, lest a partitioning by source alone be taken for good enough
+        dealt = dealt.repartition("source_key", "block")
         done = stored(_decide(dealt, last=blocks <= 1), "mix-round")
         decided.append(done.where("p = 0 OR p = 1"))
         if blocks <= 1:

@@ -1,15 +1,15 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text: its distinct words, word pairs and pairs with one word
-skipped, hashed to 2**BITS coordinates; words are lower-cased runs of letters and
-digits. Training shards hold a bounded, hash-drawn sample of labelled rows; each
-learns with per-coordinate rates and L1 sparsity, and the mean of their weights is
-the model: a short list of (coordinate, weight), of 2**BITS entries at most,
-which goes to every task. Texts are scored whole, in blocks.
+skipped, hashed to 64 bits; words are lower-cased runs of letters and digits. One
+task learns from a bounded, hash-drawn sample of labelled rows, with
+per-coordinate rates and L1 sparsity, over the features that occur in at least
+MIN_TEXTS of its texts. The model is a short sorted list of (feature hash,
+weight), bounded by the sample, which goes to every task. Texts are scored whole, in blocks.
 
 Null text is empty: its score is that of the bias alone. Null labels are not
-learned from; without labels every score is 0.5 less a hair (and no row is
-rejected). Other columns are ignored; repeated rows give one result each.
+learned from; without labels every score is 0.25 and no row is rejected. Other
+columns are ignored; repeated rows give one result each.
 """
 
 from __future__ import annotations
@@ -25,39 +25,40 @@ from pyspark.sql import functions as F
 from entiprof.llm.common import crc_mod5, text_blocks, texts
 from entiprof.llm.words import NOT_ALNUM, U, mix, row_words
 
-BITS = 20
 #: Labelled rows learned from at most (the smallest hashes of their ids).
 SAMPLE = 24_000
-#: Shards that learn on their own; their weights are averaged.
-SHARDS = 6
+MIN_TEXTS = 4
 EPOCHS = 3
-BIAS = 1 << BITS
+#: The feature that every text has.
+BIAS = U(0)
+#: The bias without labels.
+_UNKNOWN = -1.0986122886681098
 
 
 def _features(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, coordinate) of each word, pair and skipping pair of rows of word hashes; repeats included."""
+    """(row, feature hash) of each word, pair and skipping pair of rows of word hashes; repeats included."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     rows, codes = [row], [h]
     for gap, salt in ((1, 0x1F123BB5159A55E5), (2, 0x52DCE729DA3ED7A5)):
-        same = row[gap:] == row[:-gap] if len(row) > gap else np.empty(0, bool)
-        rows.append(row[:-gap][same] if len(row) > gap else row[:0])
-        codes.append(mix(h[:-gap] * U(3) + mix(h[gap:] + U(salt)))[same] if len(row) > gap else h[:0])
-    return np.concatenate(rows), (np.concatenate(codes) >> U(64 - BITS)).astype(np.int64)
+        if len(row) > gap:
+            same = row[gap:] == row[:-gap]
+            rows.append(row[:-gap][same])
+            codes.append(mix(h[:-gap] * U(3) + mix(h[gap:] + U(salt)))[same])
+    return np.concatenate(rows), np.concatenate(codes)
 
 
 class Ftrl:
-    """FTRL-proximal: weights are made from the sums z and n when they are read."""
+    """FTRL-proximal: weights are made from the sums z and n when they are read. The last of ``size`` is the bias, not pulled to zero."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.5, l2: float = 0.5):
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
-        self.z, self.n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
+    def __init__(self, size: int, alpha: float = 0.6, beta: float = 1.0, l1: float = 10.0, l2: float = 0.1):
+        self.alpha, self.beta, self.l2 = alpha, beta, l2
+        self.z, self.n, self.l1 = np.zeros(size), np.zeros(size), np.full(size, l1)
+        self.l1[-1] = 0.0
 
-    def weights(self, at: np.ndarray) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
-        rate = (self.beta + np.sqrt(n)) / self.alpha + self.l2
-        # the bias is not pulled to zero
-        pull = np.where(at == BIAS, 0.0, self.l1)
-        return np.where(np.abs(z) <= pull, 0.0, -(z - np.sign(z) * pull) / rate)
+    def weights(self, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        z, pull = self.z[at], self.l1[at]
+        rate = (self.beta + np.sqrt(self.n[at])) / self.alpha + self.l2
+        return np.where(np.abs(z) <= pull, 0.0, (np.sign(z) * pull - z) / rate)
 
     def learn(self, at: np.ndarray, label: int, weight: float) -> None:
         w = self.weights(at)
@@ -67,56 +68,73 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, shards: int = SHARDS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """(coordinates, weights) from ``docs`` (doc_id, text) joined with ``labels`` (doc_id, label: 0 or 1)."""
+def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """(feature hashes, weights), sorted, from texts in the order given."""
+    every: list[np.ndarray] = []
+    for _, _, data, bounds in text_blocks(pa.RecordBatch.from_arrays([texts], ["text"])):
+        row, code = _features(*row_words(data, bounds, blank=NOT_ALNUM))
+        order = np.argsort(row, kind="stable")
+        cuts = np.searchsorted(row[order], np.arange(len(bounds)))
+        every += [np.unique(code[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+    known, n = np.unique(np.concatenate(every) if every else np.empty(0, U), return_counts=True)
+    known = known[(n >= MIN_TEXTS) & (known != BIAS)]
+    if not len(labels):
+        return np.array([BIAS]), np.array([_UNKNOWN])
+    bias, places = len(known), []
+    for codes in every:
+        at = np.minimum(np.searchsorted(known, codes), max(0, bias - 1))
+        places.append(np.append(at[known[at] == codes] if bias else at[:0], bias).astype(np.int32))
+    model = Ftrl(bias + 1)
+    # the rarer label weighs more
+    heavy = min(4.0, max(1.0, float((labels == 0).sum()) / max(1, int((labels == 1).sum())) / 2))
+    for _ in range(epochs):
+        for at, label in zip(places, labels.tolist()):
+            model.learn(at, label, heavy if label == 1 else 1.0)
+    w = model.weights()
+    keep = np.flatnonzero(w[:-1])
+    return np.concatenate([[BIAS], known[keep]]), np.concatenate([w[-1:], w[keep]])
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`fit` on ``docs`` (doc_id, text) joined with ``labels`` (doc_id, label: 0 or 1)."""
     h = F.xxhash64(F.lit(5), "doc_id")
     # at most ``sample`` rows of ids and labels: safe to broadcast
     drawn = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(h).limit(sample)
-    rows = docs.join(F.broadcast(drawn), "doc_id").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    # repeated ids: one text, so that the bound holds
+    rows = docs.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.iloc[np.argsort(mix(pdf["doc_id"].to_numpy(np.int64).view(U)), kind="stable")]
-        batch = pa.RecordBatch.from_pandas(pdf[["text"]], preserve_index=False)
-        every = []
-        for _, _, data, bounds in text_blocks(batch):
-            words, first = row_words(data, bounds, blank=NOT_ALNUM)
-            row, code = _features(words, first)
-            order = np.argsort(row, kind="stable")
-            cuts = np.searchsorted(row[order], np.arange(len(first)))
-            every += [np.append(np.unique(code[order[a:b]]), BIAS) for a, b in zip(cuts[:-1], cuts[1:])]
-        model, y = Ftrl(), pdf["label"].to_numpy()
-        # as many of either label, by weight, up to a factor
-        heavy = min(4.0, max(1.0, float((y == 0).sum()) / max(1, int((y == 1).sum())) / 2))
-        for _ in range(epochs):
-            for at, label in zip(every, y.tolist()):
-                model.learn(at, label, heavy if label == 1 else 1.0)
-        w = model.weights(np.arange(BIAS + 1))
-        at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at, "w": w[at]})
-
-    learned = rows.groupBy("shard").applyInPandas(learn, "at long, w double")
-    pdf = learned.groupBy("at").agg((F.sum("w") / shards).alias("w")).toPandas().sort_values("at")
-    return pdf["at"].to_numpy(np.int64), pdf["w"].to_numpy(float)
+        keys, w = fit(pa.array(pdf["text"], pa.large_string()), pdf["label"].to_numpy())
+        return pd.DataFrame({"key": keys.view(np.int64), "w": w})
+
+    out = rows.groupBy(F.lit(0)).applyInPandas(learn, "key long, w double").toArrow()
+    if not out.num_rows:
+        return np.array([BIAS]), np.array([_UNKNOWN])
+    keys, w = out["key"].to_numpy().view(U), out["w"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], w[order]
 
 
 def scorer(spark, model: tuple[np.ndarray, np.ndarray]):
     """A vectorized function: texts to scores."""
-    at, w = model
-    shared = spark.sparkContext.broadcast((at, w))
-    dense: list[np.ndarray] = []
+    shared = spark.sparkContext.broadcast(model)
+    first_bits: list[np.ndarray] = []
 
     def score(col: pa.Array) -> np.ndarray:
-        if not dense:
-            table = np.zeros(BIAS + 1)
-            table[shared.value[0]] = shared.value[1]
-            dense.append(table)
-        table, out = dense[0], []
+        keys, w = shared.value
+        if not first_bits:  # spares most look-ups
+            first_bits.append(np.zeros(1 << 20, bool))
+            first_bits[0][keys >> U(44)] = True
+        out = []
         for _, _, data, bounds in text_blocks(pa.RecordBatch.from_arrays([col], ["text"])):
-            words, first = row_words(data, bounds, blank=NOT_ALNUM)
-            row, code = _features(words, first)
-            live = table[code] != 0
-            pairs = np.unique(row[live] << BITS | code[live])  # a feature counts once a text
-            out.append(np.bincount(pairs >> BITS, table[pairs & (BIAS - 1)], len(first) - 1) + table[BIAS])
+            row, code = _features(*row_words(data, bounds, blank=NOT_ALNUM))
+            maybe = np.flatnonzero(first_bits[0][code >> U(44)])
+            row, code = row[maybe], code[maybe]
+            at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+            hit = (keys[at] == code) & (code != BIAS)
+            pairs = np.unique(row[hit] * len(keys) + at[hit])  # a feature counts once a text
+            out.append(np.bincount(pairs // len(keys), w[pairs % len(keys)], len(bounds) - 1) + w[0])
         total = np.concatenate(out) if out else np.empty(0)
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 

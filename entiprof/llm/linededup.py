@@ -5,7 +5,7 @@ lines here are all runs of ``line`` consecutive words (a text wrapped from every
 word on). Of each window of ``window`` line hashes the smallest is a
 fingerprint: two texts that share ``line + window - 1`` words share a fingerprint.
 Fingerprints meet by a join on their hash, each with its first occurrence (by
-doc_id, then place). On one diagonal neighbouring fingerprints overlap, which
+doc_id, then place); repeats within one text are found where it is read. On one diagonal neighbouring fingerprints overlap, which
 verifies what lies between them; both ends are extended word by word against the
 first occurrence. Runs of at least ``min_run`` words are deleted from the later
 place.
@@ -59,8 +59,42 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(_key(id_col, text_col).alias("key"), F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def _prints(docs: DataFrame, line: int, window: int) -> DataFrame:
-    """(hash, id, key, pos): the fingerprints of every text."""
+def _stretch(x: np.ndarray, y: np.ndarray) -> int:
+    """How many leading entries of x and y are equal."""
+    n, at, step = min(len(x), len(y)), 0, 64
+    while at < n:
+        differ = np.flatnonzero(x[at : min(n, at + step)] != y[at : min(n, at + step)])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = at + step, step * 4
+    return n
+
+
+def own_repeats(words: np.ndarray, at: np.ndarray, hashes: np.ndarray, line: int, min_run: int) -> list[tuple[int, int]]:
+    """Runs [a, e) of a text that repeat an earlier run of the same text, found from its fingerprints.
+
+    Each fingerprint is matched with the previous equal one, so that a
+    periodic stretch is one run on one diagonal.
+    """
+    order = np.argsort(hashes, kind="stable")
+    same = np.flatnonzero(hashes[order][1:] == hashes[order][:-1])
+    runs_found, reached = [], {}
+    for p, q in sorted(zip(at[order[same + 1]].tolist(), at[order[same]].tolist())):
+        if p < reached.get(p - q, -1):
+            continue
+        back = _stretch(words[:p][::-1], words[:q][::-1])
+        e = p + line + _stretch(words[p + line :], words[q + line :])
+        reached[p - q] = e
+        if e - p + back >= min_run:
+            runs_found.append((p - back, e))
+    return runs_found
+
+
+def _prints(docs: DataFrame, line: int, window: int, min_run: int) -> DataFrame:
+    """(hash, id, key, pos): the fingerprints of every text; and with null hash (key, pos, e) its runs that repeat itself.
+
+    Fingerprints inside such a run are left out: the run goes anyway.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -68,21 +102,41 @@ def _prints(docs: DataFrame, line: int, window: int) -> DataFrame:
             for lo, _, data, bounds in text_blocks(b):
                 words, first = row_words(data, bounds, lower=False)
                 every = runs(words, line)
-                hs, rows, places = [], [], []
+                hs, rows, places, own_runs = [], [], [], []
                 for r, (a, e) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-                    if e - a >= line:
-                        own = every[a : e - line + 1]
-                        at = winnow(own, window)
-                        hs.append(own[at])
-                        places.append(at)
-                        rows.append(np.full(len(at), lo + r))
+                    if e - a < line:
+                        continue
+                    own = every[a : e - line + 1]
+                    at = winnow(own, window)
+                    h = own[at]
+                    if len(np.unique(h)) < len(h):
+                        found = own_repeats(words[a:e], at, h, line, min_run)
+                        own_runs += [(lo + r, x, y) for x, y in found]
+                        inside = np.zeros(e - a + 1, np.int64)
+                        for x, y in found:
+                            inside[x] += 1
+                            if y - line + 1 > x:
+                                inside[y - line + 1] -= 1
+                        keep = np.cumsum(inside)[at] == 0
+                        at, h = at[keep], h[keep]
+                    hs.append(h)
+                    places.append(at)
+                    rows.append(np.full(len(at), lo + r))
                 if hs:
-                    row = pa.array(np.concatenate(rows))
+                    row = pa.array(np.concatenate([*rows, np.array([r for r, _, _ in own_runs], np.int64)]).astype(np.int64))
+                    n, m = sum(map(len, hs)), len(own_runs)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hs).view(np.int64)), ids.take(row), keys.take(row), pa.array(np.concatenate(places).astype(np.int32))], ["hash", "id", "key", "pos"]
+                        [
+                            pa.array(np.concatenate([*hs, np.zeros(m, U)]).view(np.int64), mask=np.arange(n + m) >= n),
+                            ids.take(row),
+                            keys.take(row),
+                            pa.array(np.concatenate([*places, np.array([x for _, x, _ in own_runs], np.int64)]).astype(np.int32)),
+                            pa.array(np.concatenate([np.zeros(n, np.int64), np.array([y for _, _, y in own_runs], np.int64)]).astype(np.int32)),
+                        ],
+                        ["hash", "id", "key", "pos", "e"],
                     )
 
-    return docs.mapInArrow(run, "hash long, id long, key long, pos int")
+    return docs.mapInArrow(run, "hash long, id long, key long, pos int, e int")
 
 
 def _seeds(prints: DataFrame, line: int, window: int) -> DataFrame:
@@ -133,7 +187,8 @@ def _common(x: pa.Array, y: pa.Array) -> list[int]:
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line: int = LINE, window: int = WINDOW, min_run: int = MIN_RUN) -> DataFrame:
     """(key, runs): per document with later repeats the word ranges [a, e) to delete, merged and sorted."""
     docs = _keyed(docs, id_col, text_col)
-    seeds = stored(_seeds(stored(_prints(docs, line, window), "line-prints"), line, window), "line-seeds")
+    prints = stored(_prints(docs, line, window, min_run), "line-prints")
+    seeds = stored(_seeds(prints.where("hash IS NOT NULL").drop("e"), line, window), "line-seeds")
     here = seeds.select("key", "a", "e")
     there = seeds.select(F.col("key0").alias("key"), F.col("a0").alias("a"), F.col("e0").alias("e"))
     # a neighbouring fingerprint may have occurred first in another text, so a run can go on for more than a window
@@ -149,7 +204,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     met = seeds.join(x, ["key", "a", "e"]).join(y, ["key0", "a0", "e0"])
     ranges = met.select("key", "a", "e", "b", "b0", "f", "f0").mapInArrow(extend, "key long, a int, e int")
-    ranges = ranges.where(F.col("e") - F.col("a") >= min_run).select("key", "a", "e").distinct()
+    ranges = ranges.where(F.col("e") - F.col("a") >= min_run).select("key", "a", "e")
+    ranges = ranges.unionByName(prints.where("hash IS NULL").select("key", F.col("pos").alias("a"), "e")).distinct()
     return stored(ranges.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("a", "e"))).alias("runs")), "line-runs")
 
 

@@ -26,7 +26,7 @@ from entiprof.llm.common import crc_mod5, text_blocks, texts
 from entiprof.llm.words import NOT_ALNUM, U, mix, row_words
 
 #: Labelled rows learned from at most (the smallest hashes of their ids).
-SAMPLE = 24_000
+SAMPLE = 16_000
 MIN_TEXTS = 4
 EPOCHS = 3
 #: The feature that every text has.
@@ -70,12 +70,22 @@ class Ftrl:
 
 def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
     """(feature hashes, weights), sorted, from texts in the order given."""
-    every: list[np.ndarray] = []
-    for _, _, data, bounds in text_blocks(pa.RecordBatch.from_arrays([texts], ["text"])):
-        row, code = _features(*row_words(data, bounds, blank=NOT_ALNUM))
-        order = np.argsort(row, kind="stable")
-        cuts = np.searchsorted(row[order], np.arange(len(bounds)))
-        every += [np.unique(code[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+
+    def features() -> Iterator[np.ndarray]:
+        for _, _, data, bounds in text_blocks(batch):
+            row, code = _features(*row_words(data, bounds, blank=NOT_ALNUM))
+            order = np.argsort(row, kind="stable")
+            cuts = np.searchsorted(row[order], np.arange(len(bounds)))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                yield np.unique(code[order[a:b]])
+
+    # most features are rare: a table of counts by hash drops them before any list of features is made
+    table = np.zeros(1 << 24, np.uint8)
+    for codes in features():
+        slot = codes >> U(40)
+        table[slot] = np.minimum(table[slot], 250) + 1
+    every = [codes[table[codes >> U(40)] >= MIN_TEXTS] for codes in features()]
     known, n = np.unique(np.concatenate(every) if every else np.empty(0, U), return_counts=True)
     known = known[(n >= MIN_TEXTS) & (known != BIAS)]
     if not len(labels):
@@ -108,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         keys, w = fit(pa.array(pdf["text"], pa.large_string()), pdf["label"].to_numpy())
         return pd.DataFrame({"key": keys.view(np.int64), "w": w})
 
-    out = rows.groupBy(F.lit(0)).applyInPandas(learn, "key long, w double").toArrow()
+    out = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(learn, "key long, w double").toArrow()
     if not out.num_rows:
         return np.array([BIAS]), np.array([_UNKNOWN])
     keys, w = out["key"].to_numpy().view(U), out["w"].to_numpy()

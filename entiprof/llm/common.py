@@ -58,26 +58,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def text_blocks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges of a batch with about ``max_bytes`` of UTF-8 each: (first row, end row, bytes, row bounds).
 
-    A longer row is a block of its own.
+    A longer row is a block of its own. Few rows are copied at a time, to keep a task's memory low.
     """
-    col = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    n = len(col)
-    if n == 0:
-        return
-    buffers = col.buffers()
-    offsets = np.frombuffer(buffers[1], np.int64)[col.offset : col.offset + n + 1]
-    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
-    lo = 0
-    while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + max_bytes, "right")) - 1)
-        hi = min(hi, n)
-        yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-        lo = hi
+    rows = max(64, max_bytes // 1024)
+    for at in range(0, batch.num_rows, rows):
+        col = pc.fill_null(batch.column(column).slice(at, rows).cast(pa.large_string()), "")
+        n, buffers = len(col), col.buffers()
+        offsets = np.frombuffer(buffers[1], np.int64)[col.offset : col.offset + n + 1]
+        data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.empty(0, np.uint8)
+        lo = 0
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + max_bytes, "right")) - 1))
+            yield at + lo, at + hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            lo = hi
 
 
 def bit_table(ids: DataFrame, column: str, bits: int = 23) -> np.ndarray:

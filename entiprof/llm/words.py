@@ -10,7 +10,7 @@ U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes hashed at once; longer stretches are cut between words.
-_SPAN = 1 << 20
+_SPAN = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiprof.llm.common import stored
+from entiprof.llm.common import ship, stored
 
 TREES = 64
 SYMBOLS = 4
@@ -115,6 +115,7 @@ def search(
     vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, trees: int = TREES, least: int = LEAST, share: float = SHARE
 ) -> DataFrame:
     """The k nearest found of each query: query_id, rank, vec_id, score. ``queries``: (query_id), ids of rows of ``vectors``."""
+    ship(vectors.sparkSession)
     entries, d = _entries(vectors, id_col, vector_col, k + 1)
     asked = _asked(vectors, queries, entries, id_col, vector_col, d)
     total = entries.count()

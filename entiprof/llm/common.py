@@ -36,6 +36,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators need, so that no other column can clash; null texts are empty."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

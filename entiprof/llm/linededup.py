@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entiprof.llm.common import bit_table, may_hold, stored, text_blocks
+from entiprof.llm.common import bit_table, may_hold, ship, stored, text_blocks
 from entiprof.llm.words import U, row_words, runs, split
 
 LINE = 25
@@ -231,6 +231,7 @@ def _cut(text: bytes, ranges: list[dict]) -> tuple[bytes, int, int]:
 
 def _rewritten(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     """``docs`` with the deduplicated text in place, and __words and __gone (null where nothing went)."""
+    ship(docs.sparkSession)
     found = repeated_runs(docs, id_col, text_col, **options)
     keyed = docs.withColumn("__key", _key(id_col, text_col))
     table = bit_table(found, "key")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entiprof.llm.common import WORD, stored
+from entiprof.llm.common import WORD, ship, stored
 from entiprof.llm.words import U, mix
 
 #: Documents that one task balances at once.
@@ -144,6 +144,7 @@ def mix_sources(
 
     The sources (not the documents) come to the driver.
     """
+    ship(docs.sparkSession)
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     sized = stored(sized.withColumn("row_id", F.monotonically_increasing_id()), "mix-sizes")
     totals = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}

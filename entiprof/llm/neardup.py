@@ -213,10 +213,11 @@ def links(
         mains = parts.groupBy("node").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
         large = rows.where(F.col("n") > small).join(mains, "node")
         if level == depth:
-            full = large.join(profile, "vid")
+            # nodes of other trees hold the same documents around the same component: all of them once
+            full = large.select("main", "vid", "size").distinct().join(profile, "vid")
             x, y = full.where("comp <> main").alias("x"), full.alias("y")
-            once = F.expr("y.comp = y.main OR x.vid < y.vid")
-            pairs = x.join(y, F.expr("x.node = y.node") & once & alike)
+            once = F.expr("x.comp <> y.comp AND (y.comp = y.main OR x.vid < y.vid)")
+            pairs = x.join(y, F.expr("x.main = y.main") & once & _alike("x", "y", threshold) & _sizes_fit("x", "y", percent))
             found.append(pairs.select(F.least("x.vid", "y.vid").alias("a"), F.greatest("x.vid", "y.vid").alias("b")))
             break
         down = _branch(large.select("node", "vid", "own", "size", "used").join(reps.select("vid", "sig"), "vid"), chance)

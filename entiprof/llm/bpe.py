@@ -29,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from entiprof.llm.common import texts
+from entiprof.llm.common import give_back, texts
 
 #: Encoded words that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _NONE = 1 << 62
 
 
@@ -209,6 +209,8 @@ def _coded(docs: DataFrame, path: str, id_col: str, text_col: str, digest: bool)
                     decoded.append(hashlib.sha256(out.encode()).hexdigest() if digest else out)
                 columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string() if digest else pa.binary()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        del codec
+        give_back()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["doc_id", "n_tokens", "ids", "decoded"]
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
@@ -75,6 +77,14 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1
             hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + max_bytes, "right")) - 1))
             yield at + lo, at + hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a reused worker would hold a batch's peak while other tasks run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def bit_table(ids: DataFrame, column: str, bits: int = 23) -> np.ndarray:

@@ -99,7 +99,7 @@ def epoch_seconds(ts: Column | str, ntz: bool = False) -> Column:
     spans by an hour)."""
     col = _c(ts)
     if not ntz:
-        return col.cast("timestamp").cast("long")
+        return col.try_cast("timestamp").cast("long")
     return (
         F.unix_date(F.to_date(col)).cast("long") * F.lit(86400)
         + F.hour(col) * F.lit(3600)

@@ -16,12 +16,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _K, _T, _HV, _HI = "__lp_key", "__lp_ts", "__lp_has_valid", "__lp_has_invalid"
+_AT = "__at"
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _timed(df: DataFrame, ts: str) -> tuple[DataFrame, str]:
+    """``df`` and the column to order by: ``ts`` itself, or, of a text column, its
+    value as a timestamp (NULL where the text is none)."""
+    if df.schema[ts].dataType.typeName() != "string":
+        return df, ts
+    return df.withColumn(_AT, F.col(ts).try_cast("timestamp")), _AT
+
+
 def latest_preferred(
     df: DataFrame, key: str, ts: str, valid: Column, method: str = "aggregate"
 ) -> DataFrame:
@@ -29,11 +38,12 @@ def latest_preferred(
     holds; when a key has no valid row, the rows at its newest ``ts``
     overall. Ties are all kept. Rows with a NULL key or NULL ts never qualify.
     Returns the qualifying rows of ``df`` with their own columns only."""
+    df, ts = _timed(df, ts)
     base = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     if method == "window":
         pref = F.coalesce(valid, F.lit(False))
         w = Window.partitionBy(key).orderBy(pref.desc(), F.col(ts).desc())
-        return base.withColumn("__lp_rank", F.rank().over(w)).where(F.col("__lp_rank") == 1).drop("__lp_rank")
+        return base.withColumn("__lp_rank", F.rank().over(w)).where(F.col("__lp_rank") == 1).drop("__lp_rank", _AT)
     if method != "aggregate":
         raise ValueError(f"unknown method {method!r}")
     maxima = base.groupBy(F.col(key).alias(_K)).agg(
@@ -44,7 +54,7 @@ def latest_preferred(
         _K, F.coalesce("__mv", "__mc").alias(_T), F.col("__mv").isNotNull().alias(_HV)
     )
     joined = base.join(target, (base[key] == target[_K]) & (base[ts] == target[_T]), "inner")
-    return joined.where(~F.col(_HV) | F.coalesce(valid, F.lit(False))).drop(_K, _T, _HV)
+    return joined.where(~F.col(_HV) | F.coalesce(valid, F.lit(False))).drop(_K, _T, _HV, _AT)
 
 
 def latest_preferred_since(
@@ -56,6 +66,7 @@ def latest_preferred_since(
     newer row that is neither valid nor invalid leaves the key without a row.
     Both the aggregation and the join back read only the period (the date
     predicate reaches the parquet scan)."""
+    df, ts = _timed(df, ts)
     recent = df.where(F.col(key).isNotNull() & (F.col(ts) >= F.lit(since)))
     maxima = recent.groupBy(F.col(key).alias(_K)).agg(
         F.max(F.when(valid, F.col(ts))).alias("__mv"),
@@ -74,7 +85,7 @@ def latest_preferred_since(
         .when(F.col(_HI), F.coalesce(invalid, F.lit(False)))
         .otherwise(F.lit(False))
     )
-    return joined.where(keep).drop(_K, _T, _HV, _HI)
+    return joined.where(keep).drop(_K, _T, _HV, _HI, _AT)
 
 
 def first_match(df: DataFrame, key: str, order_id: str, value: str, pred: Column | None = None,

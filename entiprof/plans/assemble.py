@@ -47,7 +47,7 @@ from entiprof.operators.aggregates import conditional_span_joined, group_maxes,
 from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 from entiprof.sources.sinks import materialize, write_tables
-from entiprof.sources.tables import bounded_id_set, has_rows, restrict_to
+from entiprof.sources.tables import id_set, has_rows, restrict_to
 
 c = F.col
 
@@ -453,16 +453,12 @@ LEAD_KEYED = {
 
 
 def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dict[str, DataFrame]:
-    # One counting job decides whether the change set is broadcast: a checked
-    # size bound, so the big lead-keyed tables are filtered where they are
-    # read instead of being shuffled for a sort-merge semi-join.
-    ids, small = bounded_id_set(changed_ids)
+    ids = id_set(changed_ids)
     out = dict(t)
     for name, key in LEAD_KEYED.items():
         if name in out:
-            out[name] = restrict_to(out[name], ids, key, "id", broadcast_ids=small)
-    # messages belong to a lead through their recorded-interview parent; the
-    # parent set is not size-checked, so that join is left to the planner
+            out[name] = restrict_to(out[name], ids, key, "id")
+    # messages belong to a lead through their recorded-interview parent
     if "recorded_message" in out and "recorded_candidate" in out:
         parents = out["recorded_candidate"].select("id")
         out["recorded_message"] = restrict_to(out["recorded_message"], parents, "recorded_itv_candidate_id", "id")
@@ -564,12 +560,26 @@ def write_profiles(
     since: str = APPLICATION_PERIOD_START,
 ) -> bool:
     """Build and write both profiles (S5, S6). Returns False without writing
-    when a changed-id run has no leads (S4)."""
+    when a changed-id run has no leads (S4).
+
+    A full run replaces what stands at the paths. A changed-id run is a delta:
+    it must go to new paths (anything there is an error, so that it can't
+    replace a full profile), and ``merge_profile`` puts it into the full one."""
     if changed_ids is not None and not has_rows(restrict_to(tables["lead"], changed_ids, "id")):
         return False
     prof = build_profiles(tables, codes, changed_ids, materialize_mode, since=since)
     try:
-        write_tables([(prof.filter, filter_path), (prof.data, data_path)])
+        mode = "overwrite" if changed_ids is None else "errorifexists"
+        write_tables([(prof.filter, filter_path), (prof.data, data_path)], mode)
     finally:
         prof.release()
     return True
+
+
+def merge_profile(full: DataFrame, delta: DataFrame, changed_ids: DataFrame, key: str = "lead_id") -> DataFrame:
+    """The full profile with the changed leads' rows replaced by the delta's;
+    leads that are in ``changed_ids`` but no longer in the delta go. To be
+    written to a new folder, not over ``full``."""
+    ids = id_set(changed_ids)
+    kept = full.join(ids, full[key] == ids["id"], "left_anti")
+    return kept.unionByName(delta)

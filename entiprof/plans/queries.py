@@ -39,47 +39,26 @@ CHANGED_SINCE = "2001-06-01"
 SEGMENT_CODES = {"BUILDING": "B", "MACHINERY": "M", "HOUSEHOLD": "H", "FURNITURE": "F"}
 
 
-def _session_cache(spark: SparkSession) -> dict:
-    """Per-session memo of opened tables and role frames: a job opens each
-    parquet table (footer read, schema) and parses the role projections once,
-    however many queries it builds from them."""
-    return spark.__dict__.setdefault("_entiprof_cache", {})
-
-
 def _t(spark: SparkSession, sf_dir: str):
-    cache = _session_cache(spark)
-    key = ("tables", sf_dir)
-    if key not in cache:
-        cache[key] = load_tables(spark, sf_dir)
-    return cache[key]
-
-
-def _memo(spark: SparkSession, key: tuple, build):
-    cache = _session_cache(spark)
-    if key not in cache:
-        cache[key] = build()
-    return cache[key]
+    return load_tables(spark, sf_dir)
 
 
 def _roles(spark: SparkSession, sf_dir: str):
-    return _memo(spark, ("roles", sf_dir), lambda: role_frames(_t(spark, sf_dir)))
+    return role_frames(_t(spark, sf_dir))
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> assemble.Profiles:
     """Both profile tables come from one build (as in a job that writes
     both); q30 and q31 are its two outputs."""
-    return _memo(spark, ("profiles", sf_dir),
-                 lambda: assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START))
+    return assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START)
 
 
 def _source_parts(spark: SparkSession, sf_dir: str):
-    return _memo(spark, ("source_parts", sf_dir),
-                 lambda: assemble.source_columns(assemble.source_star(_roles(spark, sf_dir))))
+    return assemble.source_columns(assemble.source_star(_roles(spark, sf_dir)))
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("detail", sf_dir),
-                 lambda: assemble.application_detail(_roles(spark, sf_dir), since=ROLE_PERIOD_START))
+    return assemble.application_detail(_roles(spark, sf_dir), since=ROLE_PERIOD_START)
 
 
 # ------------------------------------------------------------ plain-table queries
@@ -377,9 +356,9 @@ def run_stream_refresh(spark, sf_dir, files_per_trigger: int | None = None) -> D
     t = _t(spark, sf_dir)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/entiprof-stream-{uuid.uuid4().hex}"
     changed = t["orders"].where(c("o_orderdate") >= F.lit(CHANGED_SINCE))
-    changed.where(c("o_orderstatus") == "F").select(c("o_custkey").alias("id")).coalesce(1) \
+    changed.where(c("o_orderstatus") == "F").select(c("o_custkey").alias("id")) \
         .write.parquet(f"{root}/ids/part=a")
-    changed.where(c("o_orderstatus") != "F").select(c("o_custkey").alias("id")).coalesce(1) \
+    changed.where(c("o_orderstatus") != "F").select(c("o_custkey").alias("id")) \
         .write.parquet(f"{root}/ids/part=b")
     query = start_refresh(
         spark, _roles(spark, sf_dir), f"{root}/ids/*", f"{root}/filter", f"{root}/data",

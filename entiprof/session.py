@@ -52,16 +52,12 @@ def cluster_settings(
     executors: int,
     cores_per_executor: int,
     target_partition_bytes: int = 256 * 1024 * 1024,
-    max_partitions: int = 65536,
 ) -> dict[str, str]:
     """Session settings for a profile build over ``input_bytes`` of parquet.
 
     The initial shuffle partition count is sized so that the widest exchange
     (roughly the input volume) lands near ``target_partition_bytes`` per
-    partition, never below two waves of the cluster's task slots and never
-    above ``max_partitions`` (map tasks x reduce partitions is the number of
-    shuffle blocks; exchanges carry projected columns, far less than the raw
-    input, so the cap still leaves partitions near the target); AQE
+    partition, never below two waves of the cluster's task slots; AQE
     then coalesces small stages and splits skewed partitions (a partition is
     skewed above 5x the median and above the target size). File splits
     follow the same target so a scan task reads about one partition's worth.
@@ -73,7 +69,7 @@ def cluster_settings(
     join.
     """
     slots = max(1, executors * cores_per_executor)
-    partitions = max(2 * slots, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
     target = str(target_partition_bytes)
     return {
         "spark.sql.adaptive.enabled": "true",
@@ -109,6 +105,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="entiprof-ckpt-")
     if sc is None:
         return configured

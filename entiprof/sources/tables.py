@@ -51,40 +51,23 @@ def load_tables(spark: SparkSession, base_dir: str, names: Iterable[str] = DRIVE
     return TableSet(spark, base_dir, names)
 
 
-def restrict_to(df: DataFrame, ids: DataFrame, on: str, ids_col: str | None = None,
-                broadcast_ids: bool = False) -> DataFrame:
+def restrict_to(df: DataFrame, ids: DataFrame, on: str, ids_col: str | None = None) -> DataFrame:
     """Keep the rows of ``df`` whose ``on`` value occurs in ``ids``.
 
     A left-semi join: it never multiplies rows of ``df`` and never carries
     columns of ``ids``; duplicate ids are harmless and NULL ids match nothing.
     The id set is a DataFrame, not a Python list, so it can be as large as the
-    change log. ``broadcast_ids`` is for callers that have checked the size of
-    the id set (see ``bounded_id_set``): the large side is then filtered where
-    it is read, without a shuffle."""
+    change log; how the join runs is left to the planner and to AQE's measured
+    sizes."""
     ids_col = ids_col or on
     keys = ids.select(F.col(ids_col).alias("__restrict_key")).where(F.col("__restrict_key").isNotNull())
-    if broadcast_ids:
-        keys = F.broadcast(keys)
     return df.join(keys, df[on] == keys["__restrict_key"], "left_semi")
 
 
-# Largest id set broadcast by ``bounded_id_set``: a hashed set of 1M long keys
-# is a few tens of MB per executor.
-MAX_BROADCAST_IDS = 1_000_000
-
-
-def bounded_id_set(ids: DataFrame, column: str | None = None,
-                   max_rows: int = MAX_BROADCAST_IDS) -> tuple[DataFrame, bool]:
-    """Distinct non-NULL ids and whether they may be broadcast.
-
-    The size check is exact: one counting job over the (small) change set.
-    At or under ``max_rows`` the set is broadcast to the semi-joins, so the
-    tables it restricts are filtered where they are read; above it the joins
-    are left to the planner (sort-merge, or AQE's broadcast once sizes are
-    measured)."""
+def id_set(ids: DataFrame, column: str | None = None) -> DataFrame:
+    """The distinct non-NULL ids, as column ``id``."""
     col = column or ids.columns[0]
-    distinct = ids.select(F.col(col).alias("id")).where(F.col("id").isNotNull()).distinct()
-    return distinct, distinct.count() <= max_rows
+    return ids.select(F.col(col).alias("id")).where(F.col("id").isNotNull()).distinct()
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -90,7 +90,7 @@ def test_cluster_settings_scale_with_input():
     from entiprof.session import cluster_settings
 
     big = cluster_settings(100 * 1024**4, executors=1000, cores_per_executor=16)
-    assert int(big["spark.sql.shuffle.partitions"]) == 65536  # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600  # 256 MB each
     small = cluster_settings(1024**3, executors=1000, cores_per_executor=16)
     assert int(small["spark.sql.shuffle.partitions"]) == 32000  # two waves of 16k slots
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

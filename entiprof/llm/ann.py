@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by cosine: a hash-prefix forest.
 
 Each tree names a vector by a long string of symbols; a symbol is the nearest
-of the 2d signed axes after a random rotation. The tree is the sorted order
-of these strings, kept as its prefixes with their counts (equal prefixes are one
-stretch of the sorted array). A query descends in every tree to its longest
-prefix, then ascends in all trees at once, a symbol at a time, until the stretches
-it stands in hold enough candidates together. Stretches are joined with their
-queries in blocks of bounded size; each block returns a query's best rows, so
-candidates are never rows of a join.
+of the 2d signed axes after a random rotation. The entries are dealt to shards of
+bounded size; a shard keeps, for each tree, the sorted array of its strings. A
+query descends in every tree of a shard to the whole string, then ascends in
+all trees at once, a symbol at a time, until the stretches of the sorted arrays
+that share its prefix hold enough candidates together. The candidates are compared
+where they lie: a shard meets the queries in blocks and returns each query's
+best rows, so candidates are never rows of a join, and no vector is copied for
+each tree it stands in.
 
 Equal vectors are one entry with its few smallest ids, since others can't be
 among the nearest. Rows whose vector is null, zero, of another length than the
@@ -17,7 +18,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,51 +32,31 @@ from entiprof.llm.common import ship, stored
 
 TREES = 64
 SYMBOLS = 4
-#: Candidates (repeats over trees counted) that a query ascends for: this many, or this share of all entries.
-LEAST, SHARE = 2000, 0.125
-#: Entries, and queries, of a block.
+#: Candidates (repeats over trees counted) that a query ascends for in a shard: this many, or this share of its entries.
+LEAST, SHARE = 500, 0.125
+#: Entries of a shard, and queries of a block, on average.
 BLOCK = 4096
 
 
+@lru_cache(512)
 def _rotation(tree: int, symbol: int, d: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng([9, tree, symbol, d]).normal(size=(d, d)))
     return q * np.sign(np.diag(r))
 
 
-def strings(x: np.ndarray, tree: int) -> np.ndarray:
-    """The symbols of unit vectors (rows of x) in a tree."""
-    out = np.empty((len(x), SYMBOLS), np.int64)
-    for s in range(SYMBOLS):
-        y = x @ _rotation(tree, s, x.shape[1])
-        at = np.abs(y).argmax(axis=1)
-        out[:, s] = 2 * at + (y[np.arange(len(x)), at] > 0)
+def strings(x: np.ndarray, trees: int) -> np.ndarray:
+    """The string of each unit vector (rows of x) in each tree: its symbols as digits of one number."""
+    out = np.zeros((len(x), trees), np.int64)
+    for tree in range(trees):
+        for s in range(SYMBOLS):
+            y = x @ _rotation(tree, s, x.shape[1])
+            at = np.abs(y).argmax(axis=1)
+            out[:, tree] = out[:, tree] * (2 * x.shape[1]) + 2 * at + (y[np.arange(len(x)), at] > 0)
     return out
 
 
-def _prefixes(entries: DataFrame, d: int, trees: int) -> DataFrame:
-    """(vid, tree, level, prefix): every prefix of every string; one root for all trees."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            x = np.frombuffer(b"".join(b.column("v").to_pylist()), np.float64).reshape(-1, d)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
-            vid = b.column("vid").to_numpy()
-            for tree in range(trees):
-                prefix = np.zeros(len(x), np.int64)
-                symbols = strings(x, tree)
-                for level in range(SYMBOLS + 1):
-                    if level or tree == 0:
-                        yield pa.RecordBatch.from_arrays([pa.array(vid), pa.array(np.full(len(x), tree, np.int32)), pa.array(np.full(len(x), level, np.int32)), pa.array(prefix)], ["vid", "tree", "level", "prefix"])
-                    if level < SYMBOLS:
-                        prefix = prefix * (2 * d) + symbols[:, level]
-
-    return entries.select("vid", "v").mapInArrow(run, "vid long, tree int, level int, prefix long")
-
-
-def _entries(vectors: DataFrame, id_col: str, vector_col: str, per_vector: int) -> tuple[DataFrame, int]:
-    """(vid, v: doubles as bytes, ids: the smallest ids), one per distinct vector, and the vectors' length."""
+def _entries(vectors: DataFrame, id_col: str, vector_col: str, per_vector: int, trees: int) -> tuple[DataFrame, int]:
+    """(vid, v: doubles as bytes, s: the strings as bytes, ids: the smallest ids), one per distinct vector, and the vectors' length."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("e")).where("id IS NOT NULL AND e IS NOT NULL")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = rows.where(F.forall("e", finite) & F.exists("e", lambda x: x != 0))
@@ -86,28 +69,64 @@ def _entries(vectors: DataFrame, id_col: str, vector_col: str, per_vector: int)
     entries = best.groupBy("e").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("vid", F.monotonically_increasing_id())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            flat = np.asarray(b.column("e").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, d)
-            yield pa.RecordBatch.from_arrays([b.column("vid"), pa.array([r.tobytes() for r in flat], pa.binary()), b.column("ids")], ["vid", "v", "ids"])
-
-    return stored(entries.select("vid", "e", "ids").mapInArrow(pack, "vid long, v binary, ids array<long>"), "ann-entries"), d
-
-
-def _best(points: pd.DataFrame, queries: pd.DataFrame, d: int, keep: int) -> pd.DataFrame:
-    """For each query its ``keep`` best points by cosine, in double precision."""
-    unpack = lambda c: np.frombuffer(b"".join(c), np.float64).reshape(-1, d)
-    p, q = unpack(points["v"]), unpack(queries["w"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                x = np.asarray(b.column("e").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, d)
+                names = strings(x / np.abs(x).max(axis=1, keepdims=True), trees)
+                rows = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (x, names)]
+                yield pa.RecordBatch.from_arrays([b.column("vid"), *rows, b.column("ids")], ["vid", "v", "s", "ids"])
+
+    return stored(entries.select("vid", "e", "ids").mapInArrow(pack, "vid long, v binary, s binary, ids array<long>"), "ann-entries"), d
+
+
+def _candidates(order: np.ndarray, arrays: np.ndarray, asked: np.ndarray, base: int, enough: float) -> np.ndarray:
+    """For each query string (rows of asked), which entries of a shard its ascent meets.
+
+    ``order``, ``arrays``: per tree (row) the shard's entries by their strings, and these strings.
+    """
+    met = np.zeros((len(asked), arrays.shape[1]), bool)
+    climbing = np.arange(len(asked))
+    for level in range(SYMBOLS, 0, -1):
+        rest = base ** (SYMBOLS - level)
+        prefix = asked[climbing] // rest * rest
+        lo, hi = np.empty_like(prefix), np.empty_like(prefix)
+        for tree, array in enumerate(arrays):
+            lo[:, tree] = np.searchsorted(array, prefix[:, tree])
+            hi[:, tree] = np.searchsorted(array, prefix[:, tree] + rest)
+        done = (hi - lo).sum(axis=1) >= enough
+        for row, starts, ends in zip(climbing[done], lo[done].tolist(), hi[done].tolist()):
+            for sorted_entries, start, end in zip(order, starts, ends):
+                met[row, sorted_entries[start:end]] = True
+        climbing = climbing[~done]
+    met[climbing] = True  # the root
+    return met
+
+
+def _best(points: pd.DataFrame, queries: pd.DataFrame, d: int, keep: int, least: int, share: float) -> pd.DataFrame:
+    """For each query its ``keep`` best candidates of a shard by cosine, in double precision, ties to the smaller id."""
+    unpack = lambda c, kind, n: np.frombuffer(b"".join(c), kind).reshape(-1, n)
+    p, q = unpack(points["v"], np.float64, d), unpack(queries["w"], np.float64, d)
+    trees = len(points["s"].iloc[0]) // 8
+    names, asked = unpack(points["s"], np.int64, trees).T.copy(), unpack(queries["t"], np.int64, trees)
+    order = np.argsort(names, axis=1, kind="stable")
+    arrays = np.take_along_axis(names, order, axis=1)
+    vid, first, qvid = points["vid"].to_numpy(), points["first"].to_numpy(), queries["qvid"].to_numpy()
     pn, qn = np.sqrt(np.einsum("ij,ij->i", p, p)), np.sqrt(np.einsum("ij,ij->i", q, q))
     out = []
     for at in range(0, len(q), 256):
         some = q[at : at + 256]
         near = (some @ p.T) / qn[at : at + 256, None] / pn
-        k = min(keep, len(p))
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        rows, cols = np.repeat(np.arange(len(some)), k), top.ravel()
+        near[~_candidates(order, arrays, asked[at : at + 256], 2 * d, max(least, share * len(p)))] = -np.inf
+        last = -np.partition(-near, min(keep, len(p)) - 1, axis=1)[:, min(keep, len(p)) - 1]
+        # what rounding may order otherwise comes along
+        rows, cols = np.nonzero((near >= last[:, None] - 1e-12) & (near > -np.inf))
         # the same sums whatever block a pair meets in
         score = np.einsum("ij,ij->i", some[rows], p[cols]) / (qn[at + rows] * pn[cols])
-        out.append(pd.DataFrame({"qvid": queries["qvid"].to_numpy()[at + rows], "vid": points["vid"].to_numpy()[cols], "score": score}))
+        by = np.lexsort((first[cols], -score, rows))
+        rows, cols, score = rows[by], cols[by], score[by]
+        top = np.arange(len(rows)) - np.searchsorted(rows, rows) < keep
+        out.append(pd.DataFrame({"qvid": qvid[at + rows[top]], "vid": vid[cols[top]], "score": score[top]}))
     return pd.concat(out)
 
 
@@ -116,36 +135,19 @@ def search(
 ) -> DataFrame:
     """The k nearest found of each query: query_id, rank, vec_id, score. ``queries``: (query_id), ids of rows of ``vectors``."""
     ship(vectors.sparkSession)
-    entries, d = _entries(vectors, id_col, vector_col, k + 1)
+    entries, d = _entries(vectors, id_col, vector_col, k + 1, trees)
     asked = _asked(vectors, queries, entries, id_col, vector_col, d)
-    total = entries.count()
-    enough = max(least, int(share * total))
-    prefixes = stored(_prefixes(entries, d, trees), "ann-prefixes")
-    stretches = prefixes.groupBy("tree", "level", "prefix").agg(F.count("*").alias("n"))
-
-    # ascend: the deepest level at which the stretches of all trees hold enough
-    qvids = asked.select(F.col("qvid").alias("vid")).distinct()
-    stands = stored(prefixes.join(qvids, "vid", "left_semi").withColumnRenamed("vid", "qvid").join(stretches, ["tree", "level", "prefix"]), "ann-stands")
-    held = stands.groupBy("qvid", "level").agg(F.sum("n").alias("held"))
-    level = held.where((F.col("held") >= enough) | (F.col("level") == 0)).groupBy("qvid").agg(F.max("level").alias("level"))
-    probes = stands.join(level, ["qvid", "level"])
-
-    # blocks: a stretch's entries and its queries are each dealt to as many as they need
-    nodes = probes.groupBy("tree", "level", "prefix").agg(F.max("n").alias("n"), F.count("*").alias("q"))
-    nodes = nodes.select("tree", "level", "prefix", F.ceil(F.col("n") / BLOCK).alias("np"), F.ceil(F.col("q") / BLOCK).alias("nq"))
-    node = ["tree", "level", "prefix"]
-    points = prefixes.join(nodes, node).withColumn("pb", F.expr("pmod(xxhash64(vid, 1), np)")).withColumn("qb", F.explode(F.expr("sequence(0L, nq - 1)")))
-    asks = probes.select(*node, "qvid").join(nodes, node).withColumn("qb", F.expr("pmod(xxhash64(qvid, 2), nq)")).withColumn("pb", F.explode(F.expr("sequence(0L, np - 1)")))
-    block = [*node, "pb", "qb"]
-    vector = entries.select("vid", "v")
-    points = points.select(*block, "vid").join(entries.select("vid", "v"), "vid")
-    asks = asks.select(*block, "qvid").join(entries.select(F.col("vid").alias("qvid"), F.col("v").alias("w")), "qvid")
-    met = points.groupBy(*block).cogroup(asks.groupBy(*block))
+    qvids = asked.select("qvid").distinct()
+    shards, blocks = math.ceil(max(1, entries.count()) / BLOCK), math.ceil(max(1, qvids.count()) / BLOCK)
+
+    points = entries.select(F.expr(f"pmod(xxhash64(vid, 1), {shards}L)").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vid", "v", "s", F.col("ids")[0].alias("first"))
+    asks = qvids.join(entries.select(F.col("vid").alias("qvid"), F.col("v").alias("w"), F.col("s").alias("t")), "qvid")
+    asks = asks.select(F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"), F.expr(f"int(pmod(xxhash64(qvid, 2), {blocks}))").alias("block"), "qvid", "w", "t")
 
     def compare(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        return _best(p, q, d, k + 1) if len(p) and len(q) else pd.DataFrame({"qvid": [], "vid": [], "score": []})
+        return _best(p, q, d, k + 1, least, share) if len(p) and len(q) else pd.DataFrame({"qvid": [], "vid": [], "score": []})
 
-    best = met.applyInPandas(compare, "qvid long, vid long, score double").groupBy("qvid", "vid").agg(F.max("score").alias("score"))
+    best = points.groupBy("shard", "block").cogroup(asks.groupBy("shard", "block")).applyInPandas(compare, "qvid long, vid long, score double")
     # k + 1 entries: one may hold nothing but the query itself
     least_id = best.join(entries.select("vid", "ids"), "vid").withColumn("first", F.col("ids")[0])
     order = Window.partitionBy("qvid").orderBy(F.desc("score"), "first")

@@ -14,7 +14,8 @@ Large groups of copies would stay together on every path. So the first level's
 large nodes each link their documents to one member (confirmed on full sets);
 later, documents already in one component are not compared again, and a node
 of a single component ends. Candidates pass a 4-bit minwise sketch inside the
-join, then are confirmed on full sets. No task holds a node's pairs.
+join, then are confirmed on full sets. What is left in large nodes at full depth
+meets in pairs of blocks of full sets. No task holds a node's pairs.
 
 Null or blank text has an empty set, linked with nothing; repeated rows give
 one result each; other columns are ignored; an empty table gives an empty result.
@@ -27,6 +28,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,10 +149,12 @@ def _full_sets(docs: DataFrame, reps: DataFrame, vids: DataFrame, shingle: int)
     return stored(rows.mapInArrow(run, "vid long, set binary").groupBy("vid").agg(F.min("set").alias("set")), "near-sets")
 
 
-def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int, shingle: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid"))).distinct()
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
-    ends = pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid"))).distinct()
-    sets = _full_sets(docs, reps, ends, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,6 +172,49 @@ def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int,
     return stored(both.mapInArrow(run, "a long, b long"), "near-links")
 
 
+def _linked(p: pd.DataFrame, q: pd.DataFrame, main: int, percent: int) -> pd.DataFrame:
+    """Links between the documents of two blocks around a component, one at most of each document of p with each component in q."""
+    a, b = [], []
+    if len(p) and len(q):
+        ys = [np.frombuffer(x, U) for x in q["y_set"]]
+        words, place = np.unique(np.concatenate(ys), return_inverse=True)
+        sizes = np.array([len(y) for y in ys])
+        starts = np.cumsum(sizes) - sizes
+        vid, comp = q["y_vid"].to_numpy(), q["y_comp"].to_numpy()
+        for v, c, x in zip(p["vid"].tolist(), p["comp"].tolist(), p["set"]):
+            x = np.frombuffer(x, U)
+            at = np.minimum(np.searchsorted(words, x), len(words) - 1)
+            held = np.zeros(len(words), np.int64)
+            held[at[words[at] == x]] = 1
+            both = np.add.reduceat(held[place], starts)
+            near = np.flatnonzero((100 * both >= percent * (sizes + len(x) - both)) & (comp != c) & ((comp == main) | (vid > v)))
+            for i in near[np.unique(comp[near], return_index=True)[1]].tolist():
+                a.append(min(v, vid[i]))
+                b.append(max(v, vid[i]))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _around(last: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the documents outside a node's main component with all its documents, compared in blocks of full sets.
+
+    ``last``: main, vid, comp. Documents are dealt to blocks of bounded bytes, and
+    pairs of blocks meet in a task, so that no pair is a row unless it is a link.
+    """
+    full = last.join(sets, "vid").select("main", "vid", "comp", "set", F.octet_length("set").alias("bytes"))
+    width = F.sum(F.when(F.col("comp") != F.col("main"), F.col("bytes")))
+    blocks = full.groupBy("main").agg(F.ceil(width / (1 << 19)).alias("nx"), F.ceil(F.sum("bytes") / (1 << 21)).alias("ny")).where("nx > 0")
+    dealt = full.join(blocks, "main")
+    x = dealt.where("comp <> main").select("main", "vid", "comp", "set", F.expr("pmod(xxhash64(vid, 3), nx)").alias("xb"), F.explode(F.expr("sequence(0L, ny - 1)")).alias("yb"))
+    at = [F.col("main").alias("y_main"), F.explode(F.expr("sequence(0L, nx - 1)")).alias("y_xb"), F.expr("pmod(xxhash64(vid, 4), ny)").alias("y_yb")]
+    y = dealt.select(*at, F.col("vid").alias("y_vid"), F.col("comp").alias("y_comp"), F.col("set").alias("y_set"))
+    met = x.groupBy("main", "xb", "yb").cogroup(y.groupBy("y_main", "y_xb", "y_yb"))
+
+    def compare(key: tuple, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        return _linked(p, q, int(key[0]), percent)
+
+    return stored(met.applyInPandas(compare, "a long, b long").distinct(), "near-around")
+
+
 def _counted(rows: DataFrame, name: str) -> DataFrame:
     """Rows of nodes with two documents at least, one of them of the node's own size class; n: the node's documents."""
     rows = stored(rows, name)
@@ -196,14 +243,15 @@ def links(
     sized = profile.join(reps.select("vid", "size"), "vid")
     x, y = sized.alias("x"), sized.alias("y")
     stars = stars.join(x, F.expr("a = x.vid")).join(y, F.expr("b = y.vid")).where(_alike("x", "y", threshold) & _sizes_fit("x", "y", percent))
-    first = _confirmed(docs, reps, stored(stars.select("a", "b"), "near-stars"), percent, shingle)
+    stars = stored(stars.select("a", "b"), "near-stars")
+    first = _confirmed(_full_sets(docs, reps, _ends(stars), shingle), stars, percent)
     known = components(first)
     profile = stored(
         profile.join(known.select(F.col("node").alias("vid"), "root"), "vid", "left").withColumn("comp", F.coalesce("root", "vid")).drop("root"), "near-profile"
     )
 
     alike = _alike("x", "y", threshold) & _sizes_fit("x", "y", percent) & F.expr("x.comp <> y.comp AND (x.own OR y.own)")
-    found = []
+    found, last = [], None
     for level in range(1, depth + 1):
         full = rows.join(profile, "vid")
         x, y = full.where(F.col("n") <= small).alias("x"), full.where(F.col("n") <= small).alias("y")
@@ -214,11 +262,7 @@ def links(
         large = rows.where(F.col("n") > small).join(mains, "node")
         if level == depth:
             # nodes of other trees hold the same documents around the same component: all of them once
-            full = large.select("main", "vid", "size").distinct().join(profile, "vid")
-            x, y = full.where("comp <> main").alias("x"), full.alias("y")
-            once = F.expr("x.comp <> y.comp AND (y.comp = y.main OR x.vid < y.vid)")
-            pairs = x.join(y, F.expr("x.main = y.main") & once & _alike("x", "y", threshold) & _sizes_fit("x", "y", percent))
-            found.append(pairs.select(F.least("x.vid", "y.vid").alias("a"), F.greatest("x.vid", "y.vid").alias("b")))
+            last = stored(large.select("main", "vid").distinct().join(profile.select("vid", "comp"), "vid"), "near-last")
             break
         down = _branch(large.select("node", "vid", "own", "size", "used").join(reps.select("vid", "sig"), "vid"), chance)
         rows = stored(_counted(down, f"near-level{level + 1}"), f"near-nodes{level + 1}")
@@ -228,7 +272,10 @@ def links(
     for f in found[1:]:
         pairs = pairs.unionByName(f)
     pairs = stored(pairs.distinct(), "near-pairs")
-    return first.unionByName(_confirmed(docs, reps, pairs, percent, shingle))
+    if last is None:
+        return first.unionByName(_confirmed(_full_sets(docs, reps, _ends(pairs), shingle), pairs, percent))
+    sets = _full_sets(docs, reps, _ends(pairs).unionByName(last.select("vid")).distinct(), shingle)
+    return first.unionByName(_confirmed(sets, pairs, percent)).unionByName(_around(last, sets, percent)).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 3, **options) -> DataFrame:

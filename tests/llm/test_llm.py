@@ -84,6 +84,20 @@ def test_large_group_of_near_copies(spark):
     assert got == brute.groups(made)
 
 
+def test_leftovers_of_large_nodes_meet_in_blocks(spark):
+    draw = random.Random(3)
+    base = [f"w{i}" for i in range(80)]
+    made = []
+    for i in range(60):
+        words = list(base)
+        for _ in range(draw.randrange(6)):
+            words[draw.randrange(80)] = f"n{draw.randrange(10**6)}"
+        made.append((i, " ".join(words)))
+    # one level only: nodes over two documents go straight to the blocks
+    got = neardup.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), small=2, depth=1)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.groups(made)
+
+
 def test_nearest(spark):
     table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, x = np.array([r[0] for r in table]), np.array([r[1] for r in table], float)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entiprof.llm.common import crc_mod5, text_blocks, texts
+from entiprof.llm.common import crc_mod5, give_back, text_blocks, texts
 from entiprof.llm.words import NOT_ALNUM, U, mix, row_words
 
 #: Labelled rows learned from at most (the smallest hashes of their ids).
@@ -68,17 +68,16 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """(feature hashes, weights), sorted, from texts in the order given."""
-    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+def fit(batches: list[pa.RecordBatch], labels: np.ndarray, order: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
+    """(feature hashes, weights), sorted, from the batches' column ``text``, learned row by row in ``order``."""
 
     def features() -> Iterator[np.ndarray]:
-        for _, _, data, bounds in text_blocks(batch):
+        for _, _, data, bounds in (block for batch in batches for block in text_blocks(batch)):
             row, code = _features(*row_words(data, bounds, blank=NOT_ALNUM))
-            order = np.argsort(row, kind="stable")
-            cuts = np.searchsorted(row[order], np.arange(len(bounds)))
+            by = np.argsort(row, kind="stable")
+            cuts = np.searchsorted(row[by], np.arange(len(bounds)))
             for a, b in zip(cuts[:-1], cuts[1:]):
-                yield np.unique(code[order[a:b]])
+                yield np.unique(code[by[a:b]])
 
     # most features are rare: a table of counts by hash drops them before any list of features is made
     table = np.zeros(1 << 24, np.uint8)
@@ -86,20 +85,29 @@ def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.n
         slot = codes >> U(40)
         table[slot] = np.minimum(table[slot], 250) + 1
     every = [codes[table[codes >> U(40)] >= MIN_TEXTS] for codes in features()]
-    known, n = np.unique(np.concatenate(every) if every else np.empty(0, U), return_counts=True)
-    known = known[(n >= MIN_TEXTS) & (known != BIAS)]
+    del table
+    # counted by ranges of the hash, to sort a sixteenth at a time
+    kept = []
+    for low in range(16):
+        edges = np.array([low << 60, (low << 60) + (1 << 60) - 1], U)
+        part = [codes[np.searchsorted(codes, edges[0]) : np.searchsorted(codes, edges[1], "right")] for codes in every]
+        found, n = np.unique(np.concatenate(part) if part else np.empty(0, U), return_counts=True)
+        kept.append(found[(n >= MIN_TEXTS) & (found != BIAS)])
+    known = np.concatenate(kept)
     if not len(labels):
         return np.array([BIAS]), np.array([_UNKNOWN])
     bias, places = len(known), []
-    for codes in every:
+    every.reverse()
+    while every:
+        codes = every.pop()
         at = np.minimum(np.searchsorted(known, codes), max(0, bias - 1))
         places.append(np.append(at[known[at] == codes] if bias else at[:0], bias).astype(np.int32))
     model = Ftrl(bias + 1)
     # the rarer label weighs more
     heavy = min(4.0, max(1.0, float((labels == 0).sum()) / max(1, int((labels == 1).sum())) / 2))
     for _ in range(epochs):
-        for at, label in zip(places, labels.tolist()):
-            model.learn(at, label, heavy if label == 1 else 1.0)
+        for i in order.tolist():
+            model.learn(places[i], labels[i], heavy if labels[i] == 1 else 1.0)
     w = model.weights()
     keep = np.flatnonzero(w[:-1])
     return np.concatenate([[BIAS], known[keep]]), np.concatenate([w[-1:], w[keep]])
@@ -113,12 +121,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     # repeated ids: one text, so that the bound holds
     rows = docs.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.iloc[np.argsort(mix(pdf["doc_id"].to_numpy(np.int64).view(U)), kind="stable")]
-        keys, w = fit(pa.array(pdf["text"], pa.large_string()), pdf["label"].to_numpy())
-        return pd.DataFrame({"key": keys.view(np.int64), "w": w})
+    def learn(table: pa.Table) -> pa.Table:
+        order = np.argsort(mix(table["doc_id"].to_numpy().view(U)), kind="stable")
+        keys, w = fit(table.select(["text"]).to_batches(), table["label"].to_numpy(), order)
+        give_back()
+        return pa.table({"key": keys.view(np.int64), "w": w})
 
-    out = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(learn, "key long, w double").toArrow()
+    out = rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(learn, "key long, w double").toArrow()
     if not out.num_rows:
         return np.array([BIAS]), np.array([_UNKNOWN])
     keys, w = out["key"].to_numpy().view(U), out["w"].to_numpy()

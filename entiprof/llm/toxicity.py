@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,8 +181,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """The rows of ``docs``, all columns, that score below 0.5."""
     score = scorer(docs.sparkSession, _learned(texts(docs, id_col, text_col), labels, True))
 
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        return pd.Series(score(pa.array(text, pa.large_string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def scored(text: pa.Array) -> pa.Array:
+        return pa.array(score(text), pa.float64())
 
     return docs.where(scored(F.coalesce(F.col(text_col), F.lit(""))) < 0.5)

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,9 +104,9 @@ def may_hold(docs: DataFrame, key: str, table: np.ndarray, present: bool = True)
     bits = int(np.log2(len(table))) + 6
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("boolean")
-    def hit(h: pd.Series) -> pd.Series:
-        slot = h.to_numpy(np.int64)
-        return pd.Series((shared.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1) == present)
+    @F.arrow_udf("boolean")
+    def hit(h: pa.Array) -> pa.Array:
+        slot = h.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1) == present)
 
     return docs.where(hit(F.pmod(F.xxhash64(key), F.lit(1 << bits))))

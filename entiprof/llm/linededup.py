@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -236,10 +235,13 @@ def _rewritten(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFr
     keyed = docs.withColumn("__key", _key(id_col, text_col))
     table = bit_table(found, "key")
 
-    @F.pandas_udf("text string, words long, gone long")
-    def cut(text: pd.Series, ranges: pd.Series) -> pd.DataFrame:
-        done = [_cut(t.encode(), r) for t, r in zip(text, ranges)]
-        return pd.DataFrame({"text": [t.decode() for t, _, _ in done], "words": [n for _, n, _ in done], "gone": [g for _, _, g in done]})
+    @F.arrow_udf("text string, words long, gone long")
+    def cut(text: pa.Array, ranges: pa.Array) -> pa.Array:
+        done = [_cut(t.as_py().encode(), r.as_py()) for t, r in zip(text, ranges)]
+        columns = zip(*done) if done else ([], [], [])
+        kinds = (pa.binary(), pa.int64(), pa.int64())
+        made = [pa.array(list(c), t) for c, t in zip(columns, kinds)]
+        return pa.StructArray.from_arrays([made[0].cast(pa.string()), *made[1:]], ["text", "words", "gone"])
 
     maybe = may_hold(keyed, "__key", table).join(found.withColumnRenamed("key", "__key"), "__key", "left")
     untouched = maybe.where("runs IS NULL").withColumns({"__words": F.lit(None).cast("long"), "__gone": F.lit(None).cast("long")})

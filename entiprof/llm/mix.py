@@ -19,7 +19,7 @@ rows are documents of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,13 +102,14 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _decide(rows: DataFrame, last: bool) -> DataFrame:
     """One round of flights; p is 0 or 1 for the decided."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "row_id"], kind="stable").reset_index(drop=True)
-        size = pdf["size"].to_numpy(float)
-        p = flight(pdf["p"].to_numpy(float), np.vstack([size, np.ones(len(size))]), (mix(pdf["h"].to_numpy(np.int64).view(U)) >> U(11)).astype(float) / 2**53)
-        return pdf.assign(p=land(p, size) if last else p)
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("h", "ascending"), ("row_id", "ascending")])
+        size = block["size"].to_numpy().astype(float)
+        draws = (mix(block["h"].to_numpy().astype(np.int64).view(U)) >> U(11)).astype(float) / 2**53
+        p = flight(block["p"].to_numpy(), np.vstack([size, np.ones(len(size))]), draws)
+        return block.set_column(block.schema.get_field_index("p"), "p", pa.array(land(p, size) if last else p))
 
-    return rows.groupBy("source_key", "block").applyInPandas(run, rows.schema)
+    return rows.groupBy("source_key", "block").applyInArrow(run, rows.schema)
 
 
 def balanced(rows: DataFrame) -> DataFrame:

@@ -28,7 +28,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,17 +171,17 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return stored(both.mapInArrow(run, "a long, b long"), "near-links")
 
 
-def _linked(p: pd.DataFrame, q: pd.DataFrame, main: int, percent: int) -> pd.DataFrame:
+def _linked(p: pa.Table, q: pa.Table, main: int, percent: int) -> pa.Table:
     """Links between the documents of two blocks around a component, one at most of each document of p with each component in q."""
     a, b = [], []
     if len(p) and len(q):
-        ys = [np.frombuffer(x, U) for x in q["y_set"]]
+        ys = [np.frombuffer(x.as_buffer(), U) for x in q["y_set"]]
         words, place = np.unique(np.concatenate(ys), return_inverse=True)
         sizes = np.array([len(y) for y in ys])
         starts = np.cumsum(sizes) - sizes
         vid, comp = q["y_vid"].to_numpy(), q["y_comp"].to_numpy()
-        for v, c, x in zip(p["vid"].tolist(), p["comp"].tolist(), p["set"]):
-            x = np.frombuffer(x, U)
+        for v, c, x in zip(p["vid"].to_pylist(), p["comp"].to_pylist(), p["set"]):
+            x = np.frombuffer(x.as_buffer(), U)
             at = np.minimum(np.searchsorted(words, x), len(words) - 1)
             held = np.zeros(len(words), np.int64)
             held[at[words[at] == x]] = 1
@@ -191,7 +190,7 @@ def _linked(p: pd.DataFrame, q: pd.DataFrame, main: int, percent: int) -> pd.Dat
             for i in near[np.unique(comp[near], return_index=True)[1]].tolist():
                 a.append(min(v, vid[i]))
                 b.append(max(v, vid[i]))
-    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _around(last: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,10 +208,10 @@ def _around(last: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     y = dealt.select(*at, F.col("vid").alias("y_vid"), F.col("comp").alias("y_comp"), F.col("set").alias("y_set"))
     met = x.groupBy("main", "xb", "yb").cogroup(y.groupBy("y_main", "y_xb", "y_yb"))
 
-    def compare(key: tuple, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        return _linked(p, q, int(key[0]), percent)
+    def compare(key: tuple, p: pa.Table, q: pa.Table) -> pa.Table:
+        return _linked(p, q, key[0].as_py(), percent)
 
-    return stored(met.applyInPandas(compare, "a long, b long").distinct(), "near-around")
+    return stored(met.applyInArrow(compare, "a long, b long").distinct(), "near-around")
 
 
 def _counted(rows: DataFrame, name: str) -> DataFrame:

@@ -143,6 +143,25 @@ def test_passage_inside_lines(spark):
     assert got == {1: (0, f"one {passage} two\nx"), 2: (60, "three four\nfive six"), 3: (0, "three four")}
 
 
+def test_passages_of_which_earlier_texts_hold_parts(spark):
+    draw, made, n = random.Random(7), [], 0
+    for size, parts in ((55, [(0, 41), (15, 55)]), (60, [(0, 45), (15, 60)]), (50, [(0, 35)]), (130, [(0, 49), (40, 89), (80, 129)])):
+        for _ in range(8):
+            passage = [f"p{n}_{i}" for i in range(size)]
+            around = lambda: [f"x{draw.randrange(10**9)}" for _ in range(draw.randrange(40))]
+            for x in [*(passage[a:b] for a, b in parts), passage, passage]:
+                made.append((len(made), " ".join([*around(), *x, *around()])))
+            made.append((len(made), " ".join([*passage[:30], *around(), *passage, *around(), *passage[5:]])))
+            n += 1
+    want = {k: len(v) for k, v in brute.first_runs(made, 50).items()}
+    assert {r.doc_id: r.n_removed for r in linededup.dedup_lines(spark.createDataFrame(made, "doc_id long, text string")).collect()} == want
+
+
+def test_line_dedup_misses_no_run(spark, documents):
+    want = {k: len(v) for k, v in brute.first_runs(list(documents.items()), 50).items()}
+    assert {k: r["n_removed"] for k, r in rows(spark, "op8_line_dedup").items()} == want
+
+
 def test_bpe(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -44,12 +44,12 @@ def _passes() -> Column:
 
 def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
     """Spans of ``left`` with one of ``right`` at most ``scope`` code points away."""
-    here = F.floor(F.col("s") / scope)
-    l = left.withColumn("stretch", here).alias("l")
-    # a span that reaches into later stretches stands in each of them
-    r = right.select("row_id", "s", "e", F.explode(F.sequence(here - 1, F.floor(F.col("e") / scope) + 1)).alias("stretch")).alias("r")
+    # a span that reaches into later stretches stands in each of them, on both sides
+    stretches = lambda before, after: F.explode(F.sequence(F.floor(F.col("s") / scope) - before, F.floor(F.col("e") / scope) + after)).alias("stretch")
+    l = left.select("*", stretches(0, 0)).alias("l")
+    r = right.select("row_id", "s", "e", stretches(1, 1)).alias("r")
     met = F.expr(f"l.row_id = r.row_id AND l.stretch = r.stretch AND l.s - r.e <= {scope} AND r.s - l.e <= {scope}")
-    return l.join(r, met, "left_semi").drop("stretch")
+    return l.join(r, met, "left_semi").drop("stretch").distinct()
 
 
 def linked(weak: DataFrame, base: DataFrame, scope: int) -> DataFrame:

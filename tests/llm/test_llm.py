@@ -58,6 +58,28 @@ def test_parts_of_a_credential_report_each_other(spark):
     assert [s.split(":")[0] for s in got[1].split(",")] == ["login", "mixed", "endpoint"] and got[2] == ""
 
 
+def test_parts_meet_at_every_offset(spark):
+    made, n = [], 0
+    for size in (3, 20, 300, 500, 1300):
+        for at in range(0, 1300, 7):
+            for gap in (0, 399, 400, 401):
+                for order in (1, -1):
+                    x, y = (at, at + size), (at + size + gap, at + size + gap + 20)
+                    made.append((n, *(x if order == 1 else y), *(y if order == 1 else x), gap))
+                    n += 1
+    table = spark.createDataFrame(made, "row_id long, s int, e int, s2 int, e2 int, gap int")
+    left = table.selectExpr("row_id", "'login' AS kind", "0 AS i", "s", "e")
+    got = sorted(r.row_id for r in secrets._near(left, table.selectExpr("row_id", "s2 AS s", "e2 AS e"), 400).collect())
+    assert got == [r[0] for r in made if r[-1] <= 400]
+
+
+def test_endpoint_longer_than_the_scope(spark):
+    url = "https://db.example.org/" + "x" * 900
+    docs = spark.createDataFrame([(1, f"{url} login: build7 token=abcdefgh"), (2, f"{'a ' * 200}{url} {'b ' * 150}login: build7 token=abcdefgh")], "doc_id long, text string")
+    got = {r.doc_id: sorted(x.split(":")[0] for x in r.spans.split(",")) for r in secrets.report(docs).collect()}
+    assert got == {1: ["assign", "endpoint", "login"], 2: ["assign", "endpoint", "login"]}
+
+
 def test_fingerprints(spark, documents):
     got, after = rows(spark, "op2_fingerprints"), brute.edited([(k, t or "") for k, t in documents.items()])
     assert {k: r["edited_sha256"] for k, r in got.items()} == {k: brute.sha(t) for k, t in after.items()}

@@ -116,9 +116,9 @@ def _roots(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
 
 
 def _alike(a: str, b: str, threshold: float) -> Column:
-    """Sketches that a pair at the threshold passes with all but a chance of 0.1%."""
+    """Sketches that a pair at the threshold passes with all but a chance of 1e-7: a pair that fails is lost in every tree."""
     same = threshold + (1 - threshold) / 16
-    least = T * same - 3 * math.sqrt(T * same * (1 - same))
+    least = T * same - 6 * math.sqrt(T * same * (1 - same))
 
     def differing(i: int) -> str:
         x = f"({a}.k{i} ^ {b}.k{i})"

@@ -120,6 +120,22 @@ def test_leftovers_of_large_nodes_meet_in_blocks(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.groups(made)
 
 
+def test_links_with_unlike_sketches(spark):
+    draw, made = random.Random(11), []
+    while len(made) < 6:
+        a = [f"w{draw.randrange(10**9)}" for _ in range(150)]
+        b = [f"n{draw.randrange(10**9)}" if i in (20, 50, 80, 110) else w for i, w in enumerate(a)]  # 136 of 160 shingles: 0.85
+        low = []
+        for words in (a, b):
+            data = np.frombuffer(" ".join(words).encode(), np.uint8)
+            (s,) = neardup.shingle_sets(*neardup.row_words(data, np.array([0, len(data)])), 3)
+            low.append(neardup._signature(s) & np.uint32(15))
+        if (low[0] == low[1]).sum() < 99:  # three standard deviations below the mean
+            made += [(len(made), " ".join(a)), (len(made) + 1, " ".join(b))]
+    got = neardup.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.groups(made)
+
+
 def test_nearest(spark):
     table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, x = np.array([r[0] for r in table]), np.array([r[1] for r in table], float)

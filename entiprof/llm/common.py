@@ -79,6 +79,18 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1
     give_back()
 
 
+def row_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``max_bytes`` of the column's text; a longer row is a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(sizes, dtype=np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        before = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, before + max_bytes, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def give_back() -> None:
     """Return freed memory to the system: a reused worker would hold a batch's peak while other tasks run."""
     pa.default_memory_pool().release_unused()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiprof.llm import ann, bpe, fingerprints, linededup, lm, mix, neardup, pii, secrets, toxicity
+from entiprof.llm import ann, bpe, fingerprints, infill, linededup, lm, mix, neardup, pii, secrets, toxicity
 from entiprof.llm.common import read, ship
 
 
@@ -58,6 +58,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_sources(read(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(read(spark, sf_dir, "documents"))
+
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +72,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op1_pii, op2_fingerprints, op3_near_duplicates, op4_nearest, op5_secrets, op6_toxicity, op7_lm, op8_line_dedup, op9_bpe, op10_mix)
+    for f in (op1_pii, op2_fingerprints, op3_near_duplicates, op4_nearest, op5_secrets, op6_toxicity, op7_lm, op8_line_dedup, op9_bpe, op10_mix, op11_infill)
 }
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,5 +82,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = pipeline
-#: None: regular expressions with spans, sampling, training and encoding have no SQL form here; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {}
+#: The others have none: regular expressions with spans, sampling, training and encoding have no SQL form here; tests/llm holds brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op11_infill": infill.ORACLE_SQL}

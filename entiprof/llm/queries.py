@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entiprof.llm import align, ann, bpe, fingerprints, infill, linededup, lm, mix, neardup, pii, secrets, toxicity
+from entiprof.llm import align, ann, bpe, fingerprints, html, infill, linededup, lm, mix, neardup, pii, secrets, toxicity
 from entiprof.llm.common import read, ship
 
 
@@ -62,6 +62,10 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.report(read(spark, sf_dir, "documents"))
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_digests(read(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), _path("piece_bpe_32k.model"))
 
@@ -76,7 +80,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f)
-    for f in (op1_pii, op2_fingerprints, op3_near_duplicates, op4_nearest, op5_secrets, op6_toxicity, op7_lm, op8_line_dedup, op9_bpe, op10_mix, op11_infill, op13_align)
+    for f in (op1_pii, op2_fingerprints, op3_near_duplicates, op4_nearest, op5_secrets, op6_toxicity, op7_lm, op8_line_dedup, op9_bpe, op10_mix, op11_infill, op12_html, op13_align)
 }
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

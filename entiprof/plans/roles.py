@@ -387,9 +387,29 @@ _add(Role("applied_job_extension", "orders", (
 )))
 
 
-def role_frames(tables: Mapping[str, DataFrame], names=None) -> dict[str, DataFrame]:
-    names = names or ROLES.keys()
-    return {n: ROLES[n].frame(tables) for n in names}
+class RoleFrames(Mapping[str, DataFrame]):
+    """The roles of ``tables`` by name; a view is made when it is first asked for."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], names=None):
+        self._tables, self._names = tables, tuple(names or ROLES)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name not in self._names:
+                raise KeyError(name)
+            self._made[name] = ROLES[name].frame(self._tables)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def role_frames(tables: Mapping[str, DataFrame], names=None) -> Mapping[str, DataFrame]:
+    return RoleFrames(tables, names)
 
 
 def role_ctes(names) -> str:

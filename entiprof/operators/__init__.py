@@ -9,16 +9,26 @@ from entiprof.operators.aggregates import (
     sum_count,
 )
 from entiprof.operators.latest import (
+    LatestTarget,
     first_match,
     group_argmax_row,
     last_id,
     latest_preferred,
     latest_preferred_since,
+    latest_rows,
+)
+from entiprof.operators.lookups import (
+    JoinStep,
+    attribute_lookup,
+    attribute_values,
+    join_chain,
+    lookup_fallback,
+    repeat_join,
+    rows_per_key,
 )
-from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 
 __all__ = [
-    "JoinStep", "attribute_lookup", "conditional_span", "conditional_span_joined", "first_match", "group_argmax_row", "group_maxes",
-    "join_chain", "joined_max", "last_id", "latest_preferred", "latest_preferred_since", "lookup_fallback",
-    "repeat_entities", "set_concat", "sorted_set_text", "sum_count",
+    "JoinStep", "LatestTarget", "attribute_lookup", "attribute_values", "conditional_span", "conditional_span_joined", "first_match", "group_argmax_row", "group_maxes",
+    "join_chain", "joined_max", "last_id", "latest_preferred", "latest_preferred_since", "latest_rows",
+    "lookup_fallback", "repeat_entities", "repeat_join", "rows_per_key", "set_concat", "sorted_set_text", "sum_count",
 ]

@@ -11,6 +11,8 @@ window partition holding a third of the table in a single task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,6 +90,53 @@ def latest_preferred_since(
     return joined.where(keep).drop(_K, _T, _HV, _HI, _AT)
 
 
+@dataclass(frozen=True)
+class LatestTarget:
+    """One choice of latest rows, made known by a flag column ``flag``.
+
+    Among the rows of a key (with ``since``: those at or after it) the valid ones
+    at their newest time; of a key without any, those at its newest time, if
+    ``invalid`` is not given, else the invalid ones there if the key has an invalid row."""
+
+    flag: str
+    valid: Column
+    invalid: Column | None = None
+    since: str | None = None
+
+
+def latest_rows(df: DataFrame, key: str, ts: str, targets: Sequence[LatestTarget]) -> DataFrame:
+    """The rows that any of ``targets`` picks, with one flag column per target.
+
+    One aggregation of every target's maxima and one join back on (key, time)
+    serve all targets, so ``df`` is read twice however many there are. With one
+    target the flagged rows are those of :func:`latest_preferred` (no ``invalid``)
+    or :func:`latest_preferred_since`. Rows with a NULL key or time never qualify."""
+    df, ts = _timed(df, ts)
+    base = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    sinces = [t.since for t in targets]
+    if all(sinces):
+        base = base.where(F.col(ts) >= F.lit(min(sinces)))
+    maxima, times = [], []
+    for i, t in enumerate(targets):
+        at = F.col(ts) if t.since is None else F.when(F.col(ts) >= F.lit(t.since), F.col(ts))
+        maxima.append(F.max(F.when(t.valid, at)).alias(f"__v{i}"))
+        maxima.append(F.max(at if t.invalid is None else F.when(t.invalid, at)).alias(f"__i{i}"))
+        maxima.append(F.max(at).alias(f"__c{i}"))
+        times.append(F.coalesce(f"__v{i}", F.when(F.col(f"__i{i}").isNotNull(), F.col(f"__c{i}"))))
+    per_key = base.groupBy(F.col(key).alias(_K)).agg(*maxima)
+    wanted = per_key.select(
+        _K, *[t.alias(f"__t{i}") for i, t in enumerate(times)], *[F.col(f"__v{i}").isNotNull().alias(f"__h{i}") for i in range(len(targets))],
+        F.explode(F.array_distinct(F.array_compact(F.array(*times)))).alias(_T),
+    )
+    joined = base.join(wanted, (base[key] == wanted[_K]) & (base[ts] == wanted[_T]), "inner")
+    flags = []
+    for i, t in enumerate(targets):
+        fits = F.when(F.col(f"__h{i}"), t.valid).otherwise(F.lit(True) if t.invalid is None else t.invalid)
+        flags.append(F.coalesce((F.col(ts) == F.col(f"__t{i}")) & fits, F.lit(False)).alias(t.flag))
+    own = [c for c in df.columns if c != _AT]
+    return joined.select(*own, *flags).where(reduce(lambda a, b: a | b, [F.col(t.flag) for t in targets]))
+
+
 def first_match(df: DataFrame, key: str, order_id: str, value: str, pred: Column | None = None,
                 value_alias: str | None = None) -> DataFrame:
     """Per ``key`` among rows satisfying ``pred``: ``value`` of the row with

@@ -54,6 +54,42 @@ def lookup_fallback(
     return out, F.coalesce(*names, *codes)
 
 
+def rows_per_key(df: DataFrame, keys: str | Sequence[str], alias: str = "copies") -> DataFrame:
+    """How many rows each non-NULL key has (of several columns: the first must not be NULL)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count("*").alias(alias))
+
+
+def repeat_join(df: DataFrame, counted: DataFrame, key: str, copies: str = "copies") -> DataFrame:
+    """Left join to rows that stand for ``copies`` equal rows each.
+
+    ``counted`` holds the key, values and a count in place of repeated rows, so
+    only distinct rows cross the exchange; the copies are made after the join. A row
+    without a match stays once, its values NULL."""
+    joined = df.join(counted, key, "left")
+    return joined.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce(F.col(copies), F.lit(1)).cast("long")))).drop(copies)
+
+
+def attribute_values(
+    refs: DataFrame,
+    attrs: DataFrame,
+    row_key: str,
+    ref_col: str,
+    attr_fk: str,
+    attr_name_col: str,
+    attr_name: str,
+    attr_value: str,
+    out_col: str,
+    copies: str = "copies",
+) -> DataFrame:
+    """(row_key, out_col, copies): the named attribute of every reference (R16), one row per key and value.
+
+    ``refs`` holds (row_key, ref_col, copies); a reference without the attribute counts with NULL."""
+    named = attrs.where(F.col(attr_name_col) == F.lit(attr_name)).select(F.col(attr_fk).alias("__fk"), F.col(attr_value).alias(out_col))
+    found = refs.join(named, F.col(ref_col) == F.col("__fk"), "left")
+    return found.where(F.col(row_key).isNotNull()).groupBy(row_key, out_col).agg(F.sum(copies).alias(copies))
+
+
 def attribute_lookup(
     profile: DataFrame,
     attrs: DataFrame,
@@ -67,17 +103,10 @@ def attribute_lookup(
 ) -> DataFrame:
     """Attach one named attribute to a profile and re-attach it by
     ``row_key`` (R16). The attribute rows are those with
-    ``attr_name_col = attr_name`` (a literal in the ON clause), matched on
-    ``attr_fk = profile.ref_col``. The re-attach joins the profile to a frame
-    derived from itself on ``row_key`` only, so a key with n profile rows and
-    k matching attributes ends with n*n*k rows, as in the original job."""
-    attached = (
-        profile.alias("__p")
-        .join(
-            attrs.alias("__a"),
-            (F.col(f"__a.{attr_fk}") == F.col(f"__p.{ref_col}")) & (F.col(f"__a.{attr_name_col}") == F.lit(attr_name)),
-            "left",
-        )
-        .select(F.col(f"__p.{row_key}").alias(row_key), F.col(f"__a.{attr_value}").alias(out_col))
-    )
-    return profile.join(attached, row_key, "left")
+    ``attr_name_col = attr_name``, matched on ``attr_fk = profile.ref_col``. The
+    re-attach matches every row of a key with the values of all its rows, so a key
+    with n profile rows and k matching attributes ends with n*n*k rows, as in
+    the original job; the values travel as counts (:func:`repeat_join`)."""
+    refs = profile.groupBy(row_key, ref_col).agg(F.count("*").alias("copies"))
+    values = attribute_values(refs, attrs, row_key, ref_col, attr_fk, attr_name_col, attr_name, attr_value, out_col)
+    return repeat_join(profile, values, row_key)

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entiprof.codes import (
@@ -44,9 +45,18 @@ from entiprof.functions.predicates import (
     when_flag,
 )
 from entiprof.operators.aggregates import conditional_span_joined, group_maxes, joined_max, repeat_entities, set_concat, sum_count
-from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
-from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
-from entiprof.sources.sinks import materialize, write_tables
+from entiprof.operators.latest import (
+    LatestTarget,
+    first_match,
+    group_argmax_row,
+    last_id,
+    latest_preferred,
+    latest_preferred_since,
+    latest_rows,
+)
+from entiprof.operators.lookups import JoinStep, attribute_values, join_chain, lookup_fallback, repeat_join, rows_per_key
+from entiprof.sources.sinks import Stage, write_tables
+from entiprof.sources.snapshots import Snapshots
 from entiprof.sources.tables import id_set, has_rows, restrict_to
 
 c = F.col
@@ -61,16 +71,17 @@ _BASE_KEYS = ("id", "company_id", "candidate_profile_id", "job_loc_id")
 def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
     """Lead left-joined to twelve tables (R1), narrow first, wide last.
 
-    The chain runs on a narrow frame holding only the lead's join keys
-    (alias ``lk``), so the shuffles of the shuffled joins move a few key
-    columns instead of the whole lead row; the lead's other attributes are
-    attached once at the end by its primary key ``id`` (alias ``lead``),
-    which cannot change the row count. The joins keyed on the lead id run
-    last, so that final join reuses their hash partitioning. Left joins whose
-    conditions read only the lead and their own side commute, so this order
-    gives the same rows as the original's."""
+    The chain runs on the distinct combinations of the lead's join keys (alias
+    ``lk``), so the shuffles of the shuffled joins move a few key columns
+    instead of the whole lead row. A combination is all that the chain can see of a lead,
+    so it identifies the lead's matches whether ids repeat or are NULL, and
+    comes out the same when a task is computed again; at the end every lead row (alias
+    ``lead``) meets the chain's rows of its own combination, NULLs being equal: a lead
+    that stands twice gives each row twice, one without an id stays. Left
+    joins whose conditions read only the lead and their own side commute, so this
+    order gives the same rows as the original's."""
     lead = t["lead"]
-    keys = lead.select(*_BASE_KEYS)
+    keys = lead.select(*_BASE_KEYS).distinct()
     steps = [
         JoinStep(t["lead_extra"], "extra", c("lk.id") == c("extra.lead_id")),
         JoinStep(t["candidate_profile"], "profile", c("lk.candidate_profile_id") == c("profile.id")),
@@ -103,7 +114,8 @@ def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
         JoinStep(t["previous_application"], "prev", c("lk.id") == c("prev.application_id")),
     ]
     narrow = join_chain(keys, "lk", steps)
-    return narrow.join(lead.alias("lead"), c("lk.id") == c("lead.id"), "inner")
+    same = reduce(lambda a, b: a & b, [c(f"lk.{k}").eqNullSafe(c(f"lead.{k}")) for k in _BASE_KEYS])
+    return narrow.join(lead.alias("lead"), same, "inner")
 
 
 # Output column names of the two projections are the profile schema (fixed).
@@ -147,25 +159,43 @@ DATA_BASE_COLUMNS = (
 _INT_CASTS = {"extra_itv_scheduling_method"}
 
 
-def project_filter(base: DataFrame, codes: Codes = DEFAULT_CODES) -> DataFrame:
-    """The 40 renamed base columns plus the validity flag (R2)."""
+def project_filter_columns(codes: Codes = DEFAULT_CODES) -> list[tuple[str, Column]]:
+    """The 40 renamed base columns plus the validity flag (R2), by output name."""
     flag = valid_name_flag(c("lead.name"), c("lead.status"), codes.status_removed)
-    return base.select(*[c(src).alias(dst) for src, dst in FILTER_BASE_COLUMNS], flag.alias("is_valid_name_and_status"))
+    return [*((dst, c(src)) for src, dst in FILTER_BASE_COLUMNS), ("is_valid_name_and_status", flag)]
+
+
+def project_data_columns() -> list[tuple[str, Column]]:
+    """The 29 renamed base columns by output name; text codes cast with
+    ``try_cast`` (bad text gives NULL instead of failing the job under ANSI mode)."""
+    return [(dst, c(src).try_cast("int") if dst in _INT_CASTS else c(src)) for src, dst in DATA_BASE_COLUMNS]
+
+
+def project_filter(base: DataFrame, codes: Codes = DEFAULT_CODES) -> DataFrame:
+    return base.select(*[x.alias(name) for name, x in project_filter_columns(codes)])
 
 
 def project_data(base: DataFrame) -> DataFrame:
-    """The 29 renamed base columns; text codes cast with ``try_cast``
-    (bad text gives NULL instead of failing the job under ANSI mode)."""
-    cols = []
-    for src, dst in DATA_BASE_COLUMNS:
-        col = c(src).try_cast("int") if dst in _INT_CASTS else c(src)
-        cols.append(col.alias(dst))
-    return base.select(*cols)
+    return base.select(*[x.alias(name) for name, x in project_data_columns()])
 
 
 # ---------------------------------------------------------------- filter-profile steps
 
 
+# Columns of the applications that the profile reads.
+_APPLIED_COLUMNS = (
+    "id", "lead_id", "job_req_id", "requisition_id", "job_title", "is_valid", "city", "state", "chat_to_apply_type",
+    "created_at", "job_loc_id", "job_id", "extra_data",
+)
+
+
+def picked_applications(t: Mapping[str, DataFrame], since: str = APPLICATION_PERIOD_START) -> DataFrame:
+    """Applications that R5 (``is_latest``) or R13 (``in_period``) picks, found together: two reads of the table."""
+    valid, invalid = c("is_valid") == 1, c("is_valid") == 0
+    targets = [LatestTarget("is_latest", valid), LatestTarget("in_period", valid, invalid, since)]
+    return latest_rows(t["applied_job"].select(*_APPLIED_COLUMNS), "lead_id", "created_at", targets)
+
+
 def latest_application(t: Mapping[str, DataFrame], method: str = "aggregate") -> DataFrame:
     """(lead_id, latest_apply_job_id), ties kept."""
     rows = latest_preferred(t["applied_job"], "lead_id", "created_at", c("is_valid") == 1, method=method)
@@ -194,12 +224,14 @@ APPLICATION_COLUMNS = (
 
 
 def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES,
-                       since: str = APPLICATION_PERIOD_START) -> DataFrame:
+                       since: str = APPLICATION_PERIOD_START, picked: DataFrame | None = None) -> DataFrame:
     """Per lead that has a lead_extra row, its latest application in
     the period (valid preferred) with requisition / title fallbacks, the
-    folder code and a few lead fields."""
-    aj = t["applied_job"]
-    picked = latest_preferred_since(aj, "lead_id", "created_at", c("is_valid") == 1, c("is_valid") == 0, since)
+    folder code and a few lead fields. ``picked``: those applications, where the
+    caller has them."""
+    if picked is None:
+        aj = t["applied_job"]
+        picked = latest_preferred_since(aj, "lead_id", "created_at", c("is_valid") == 1, c("is_valid") == 0, since)
     apps = picked.select(
         "id", "lead_id", "job_req_id", "requisition_id", "job_title", "is_valid", "city", "state",
         "chat_to_apply_type", "created_at", "job_loc_id", "job_id",
@@ -322,33 +354,35 @@ SOURCE_DATA_COLUMNS = (
 )
 
 
-def source_columns(star: DataFrame, codes: Codes = DEFAULT_CODES) -> tuple[DataFrame, DataFrame]:
-    """(filter part: lead_id, source_name, apply_source;
-    data part: lead_id + 15 source columns)."""
+def source_column_lists(codes: Codes = DEFAULT_CODES) -> tuple[list[tuple[str, Column]], list[tuple[str, Column]]]:
+    """R11 over the star's aliases, by output name: the filter part (lead_id, source_name,
+    apply_source) and the data part (lead_id and 15 source columns)."""
     s = SourceInputs.from_aliases()
-    data = star.select(
-        c("lead.id").alias("lead_id"),
-        c("referrer.name").alias("referred_by_name"),
-        c("referrer.email").alias("referred_by_email"),
-        c("referrer.phone_number").alias("referred_by_phone"),
-        c("contact.name").alias("add_by_name"),
-        c("contact.phone_number").alias("add_by_phone"),
-        c("cuser.job_email").alias("add_by_email"),
-        c("ext.ex_id_1").alias("external_id_1"),
-        c("ext.ex_id_2").alias("external_id_2"),
-        c("ext.ex_id_3").alias("external_id_3"),
-        c("ext.ex_source").alias("ex_source"),
-        c("ww.compsite_slug").alias("compsite_slug"),
-        c("ww.widget_type").alias("widget_type"),
-        c("live.external_job_slug").alias("external_job_slug"),
-        event_apply_source(s, codes).alias("event_apply_source"),
-        event_source_name(s, codes).alias("event_source_name"),
-    )
-    filt = star.select(
-        c("lead.id").alias("lead_id"),
-        source_name(s, codes).alias("source_name"),
-        apply_source(s, codes).alias("apply_source"),
-    )
+    data = [
+        ("lead_id", c("lead.id")),
+        ("referred_by_name", c("referrer.name")),
+        ("referred_by_email", c("referrer.email")),
+        ("referred_by_phone", c("referrer.phone_number")),
+        ("add_by_name", c("contact.name")),
+        ("add_by_phone", c("contact.phone_number")),
+        ("add_by_email", c("cuser.job_email")),
+        ("external_id_1", c("ext.ex_id_1")),
+        ("external_id_2", c("ext.ex_id_2")),
+        ("external_id_3", c("ext.ex_id_3")),
+        ("ex_source", c("ext.ex_source")),
+        ("compsite_slug", c("ww.compsite_slug")),
+        ("widget_type", c("ww.widget_type")),
+        ("external_job_slug", c("live.external_job_slug")),
+        ("event_apply_source", event_apply_source(s, codes)),
+        ("event_source_name", event_source_name(s, codes)),
+    ]
+    filt = [("lead_id", c("lead.id")), ("source_name", source_name(s, codes)), ("apply_source", apply_source(s, codes))]
+    return filt, data
+
+
+def source_columns(star: DataFrame, codes: Codes = DEFAULT_CODES) -> tuple[DataFrame, DataFrame]:
+    """The filter part and the data part of :func:`source_column_lists`."""
+    filt, data = (star.select(*[x.alias(name) for name, x in part]) for part in source_column_lists(codes))
     return filt, data
 
 
@@ -469,12 +503,11 @@ def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dic
 class Profiles:
     filter: DataFrame
     data: DataFrame
-    materialized: tuple[DataFrame, ...] = ()
+    stage: Stage
 
     def release(self) -> None:
-        """Drop persisted intermediates once both outputs are written."""
-        for df in self.materialized:
-            df.unpersist()
+        """Drop kept intermediates once both outputs are written."""
+        self.stage.release()
 
 
 def build_profiles(
@@ -482,7 +515,6 @@ def build_profiles(
     codes: Codes = DEFAULT_CODES,
     changed_ids: DataFrame | None = None,
     materialize_mode: str | None = None,
-    latest_method: str = "aggregate",
     since: str = APPLICATION_PERIOD_START,
 ) -> Profiles:
     """Build both profile tables from the role frames in ``tables``.
@@ -492,62 +524,63 @@ def build_profiles(
     count (R12) then uses the *full* lead table limited to the profiles of
     the changed leads, so an incremental row equals the full-run row.
 
-    ``materialize_mode`` ('checkpoint' / 'persist') cuts the lineage of the
-    frames that feed both outputs (base join, source star) and persists the
-    filter profile where it is read twice (by the repeat lookup, and by the
-    attribute self re-join); ``Profiles.release`` drops them after the
-    writes."""
+    Four frames feed more than one place and are kept by ``materialize_mode``
+    (see :class:`Stage`): the base columns of both profiles, the picked applications,
+    the application detail and the source columns. The two steps that join a
+    profile to something derived from itself (R12's repeats, R16's attribute) take
+    the number of a lead's rows from those frames and repeat rows after the join, so
+    neither profile is computed twice. ``Profiles.release`` drops what was kept."""
     t = dict(tables)
     all_leads = t["lead"]
-    kept: list[DataFrame] = []
+    stage = Stage(all_leads.sparkSession, materialize_mode)
     if changed_ids is not None:
         t = _restrict_lead_keyed(t, changed_ids)
-        if materialize_mode:
-            # S3: the restricted lead table feeds six branches of the build
-            t["lead"] = materialize(t["lead"], "persist")
-            kept.append(t["lead"])
-
-    base = materialize(assemble_base(t), materialize_mode)
-    kept.append(base)
-    filt = project_filter(base, codes)
-    data = project_data(base)
-
-    # Frames read more than once are persisted when the build is materialised:
-    # the recompute of a lost block then stops at the checkpointed base / star.
-    reuse_mode = "persist" if materialize_mode else None
-
-    filt = filt.join(latest_application(t, latest_method), "lead_id", "left")
-    filt = filt.join(recorded_counts(t), "lead_id", "left")
-    filt = materialize(filt.join(application_detail(t, codes, since), "lead_id", "left"), reuse_mode)
-    kept.append(filt)
+        # S3: the restricted lead table feeds six branches of the build
+        (t["lead"],) = stage.keep(("lead", t["lead"]))
+
+    base, star = assemble_base(t), source_star(t, codes)
+    flat = [*project_filter_columns(codes), *(x for x in project_data_columns() if x[0] not in ("lead_id", "company_id"))]
+    src_filter, src_data = (dict(x) for x in source_column_lists(codes))
+    base, star, picked = stage.keep(
+        ("base", base.select(*[x.alias(name) for name, x in flat])),
+        ("sources", star.select(*[x.alias(name) for name, x in {**src_filter, **src_data}.items()])),
+        ("applications", picked_applications(t, since)),
+    )
+    (detail,) = stage.keep(("detail", application_detail(t, codes, since, picked.where("in_period"))))
+    latest = picked.where("is_latest").select(c("id").alias("latest_apply_job_id"), "lead_id")
+
+    filt = base.select(*[name for name, _ in project_filter_columns(codes)])
+    filt = filt.join(latest, "lead_id", "left").join(recorded_counts(t), "lead_id", "left").join(detail, "lead_id", "left")
+    filt = filt.join(star.select(*src_filter), "lead_id", "left")
+
+    # how often the left joins repeat a base row of a lead
+    times = rows_per_key(base, ["lead_id", "candidate_profile_id"])
+    for i, part in enumerate((latest, detail, star)):
+        times = times.join(rows_per_key(part, "lead_id", f"__n{i}"), "lead_id", "left")
+    by_latest, by_detail, by_source = (F.coalesce(f"__n{i}", F.lit(1)) for i in range(3))
+
+    rows = times.groupBy("lead_id").agg(F.sum(c("copies") * by_detail * by_source).alias("copies"))
+    values = attribute_values(
+        rows.join(latest, "lead_id", "left"), t["applied_job_extra"], "lead_id", "latest_apply_job_id", "applied_job_id",
+        "system_attribute_key_name", CUSTOM_ORG_KEY, "custom_field_value", "job_applied_extra_org",
+    )
+    filt = repeat_join(filt, values, "lead_id")
 
+    data = base.select(*[name for name, _ in project_data_columns()])
     data = data.join(journey_completed(t), "lead_id", "left")
     data = data.join(last_interview(t), "lead_id", "left")
     data = data.join(meeting_totals(t), "lead_id", "left")
-
     repeat_leads = all_leads
     if changed_ids is not None:
         profiles = t["lead"].select("candidate_profile_id")
         repeat_leads = restrict_to(all_leads, profiles, "candidate_profile_id")
-    repeats = repeat_profiles(repeat_leads, t)
-    per_lead_repeat = filt.join(repeats, "candidate_profile_id", "left").select("lead_id", "multi_apply_profile_id")
-    data = data.join(per_lead_repeat, "lead_id", "left")
+    before_sources = times.select("lead_id", "candidate_profile_id", (c("copies") * by_latest * by_detail).alias("copies"))
+    repeats = before_sources.join(repeat_profiles(repeat_leads, t), "candidate_profile_id", "left")
+    data = repeat_join(data, repeats.select("lead_id", "multi_apply_profile_id", "copies"), "lead_id")
     data = data.join(attendee_sets(t), "lead_id", "left")
-
-    star = materialize(source_star(t, codes), materialize_mode)
-    kept.append(star)
-    src_filter, src_data = source_columns(star, codes)
-    filt = filt.join(src_filter, "lead_id", "left")
-    data = data.join(src_data, "lead_id", "left")
+    data = data.join(star.select(*src_data), "lead_id", "left")
     data = data.join(candidate_language(t), "lead_id", "left")
-
-    filt = materialize(filt, reuse_mode)
-    kept.append(filt)
-    filt = attribute_lookup(
-        filt, t["applied_job_extra"], "lead_id", "latest_apply_job_id", "applied_job_id",
-        "system_attribute_key_name", CUSTOM_ORG_KEY, "custom_field_value", "job_applied_extra_org",
-    )
-    return Profiles(filter=filt, data=data, materialized=tuple(kept) if materialize_mode else ())
+    return Profiles(filter=filt, data=data, stage=stage)
 
 
 def write_profiles(
@@ -556,7 +589,7 @@ def write_profiles(
     data_path: str,
     codes: Codes = DEFAULT_CODES,
     changed_ids: DataFrame | None = None,
-    materialize_mode: str = "checkpoint",
+    materialize_mode: str = "table",
     since: str = APPLICATION_PERIOD_START,
 ) -> bool:
     """Build and write both profiles (S5, S6). Returns False without writing
@@ -564,7 +597,8 @@ def write_profiles(
 
     A full run replaces what stands at the paths. A changed-id run is a delta:
     it must go to new paths (anything there is an error, so that it can't
-    replace a full profile), and ``merge_profile`` puts it into the full one."""
+    replace a full profile); ``merge_profile`` puts it into the full one.
+    ``entiprof.sources.snapshots`` publishes either, with one commit for both profiles."""
     if changed_ids is not None and not has_rows(restrict_to(tables["lead"], changed_ids, "id")):
         return False
     prof = build_profiles(tables, codes, changed_ids, materialize_mode, since=since)
@@ -576,6 +610,39 @@ def write_profiles(
     return True
 
 
+PROFILES = ("filter_profile", "data_profile")
+
+
+def publish_profiles(
+    tables: Mapping[str, DataFrame],
+    target: Snapshots,
+    codes: Codes = DEFAULT_CODES,
+    changed_ids: DataFrame | None = None,
+    since: str = APPLICATION_PERIOD_START,
+    materialize_mode: str = "table",
+    writer: str | None = None,
+    step: int = 0,
+) -> bool:
+    """Build both profiles and publish them in one commit.
+
+    A full run replaces what is published; a changed-id run replaces the rows of its
+    ids, those of leads that are gone included. Returns False, with nothing
+    published, for an empty change set (S4)."""
+    ids = None if changed_ids is None else id_set(changed_ids)
+    if ids is not None and not has_rows(ids):
+        return False
+    prof = build_profiles(tables, codes, ids, materialize_mode, since=since)
+    frames = dict(zip(PROFILES, (prof.filter, prof.data)))
+    try:
+        if ids is None:
+            target.publish_full(frames)
+        else:
+            target.publish_change(frames, ids, writer, step)
+    finally:
+        prof.release()
+    return True
+
+
 def merge_profile(full: DataFrame, delta: DataFrame, changed_ids: DataFrame, key: str = "lead_id") -> DataFrame:
     """The full profile with the changed leads' rows replaced by the delta's;
     leads that are in ``changed_ids`` but no longer in the delta go. To be

@@ -22,12 +22,21 @@ from entiprof.operators.aggregates import (
     set_concat,
     sum_count,
 )
-from entiprof.operators.latest import first_match, group_argmax_row, last_id, latest_preferred, latest_preferred_since
+from entiprof.operators.latest import (
+    LatestTarget,
+    first_match,
+    group_argmax_row,
+    last_id,
+    latest_preferred,
+    latest_preferred_since,
+    latest_rows,
+)
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 from entiprof.plans import assemble
 from entiprof.plans.roles import role_frames
 from entiprof.session import ensure_checkpoint_dir
 from entiprof.sources.sinks import write_table
+from entiprof.sources.snapshots import Snapshots
 from entiprof.sources.tables import load_tables, restrict_to
 
 c = F.col
@@ -48,9 +57,9 @@ def _roles(spark: SparkSession, sf_dir: str):
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> assemble.Profiles:
-    """Both profile tables come from one build (as in a job that writes
-    both); q30 and q31 are its two outputs."""
-    return assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START)
+    """Both profile tables come from one build, as in a job that writes
+    both, with the frames that feed both kept as tables; q30 and q31 are its two outputs."""
+    return assemble.build_profiles(_roles(spark, sf_dir), since=ROLE_PERIOD_START, materialize_mode="table")
 
 
 def _source_parts(spark: SparkSession, sf_dir: str):
@@ -298,7 +307,7 @@ def changed_lead_ids(tables) -> DataFrame:
 def q32_incremental_profile(spark, sf_dir):
     t = _t(spark, sf_dir)
     return assemble.build_profiles(
-        _roles(spark, sf_dir), since=ROLE_PERIOD_START, changed_ids=changed_lead_ids(t)
+        _roles(spark, sf_dir), since=ROLE_PERIOD_START, changed_ids=changed_lead_ids(t), materialize_mode="table"
     ).data
 
 
@@ -375,6 +384,48 @@ def q33_stream_refresh(spark, sf_dir):
     return run_stream_refresh(spark, sf_dir)
 
 
+def _published(spark, sf_dir):
+    """Published profiles after a full run over an earlier state of the leads, a
+    changed-id run over the present one, and a run with an empty change set."""
+    roles = _roles(spark, sf_dir)
+    renamed = c("id") % 3 == 0
+    before = {**roles, "lead": roles["lead"].withColumns({
+        "name": F.when(renamed, F.lit("test before")).otherwise(c("name")),
+        "added_by": F.when(renamed, c("added_by") + 2).otherwise(c("added_by")),
+    })}
+    target = Snapshots(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/entiprof-published-{uuid.uuid4().hex}")
+    assemble.publish_profiles(before, target, since=ROLE_PERIOD_START)
+    changed = roles["lead"].where(renamed).select("id")
+    assemble.publish_profiles(roles, target, changed_ids=changed, since=ROLE_PERIOD_START)
+    assemble.publish_profiles(roles, target, changed_ids=changed.where(F.lit(False)), since=ROLE_PERIOD_START)
+    return target
+
+
+def q42_published_filter(spark, sf_dir):
+    """The published filter profile equals a full run over the present tables."""
+    return _published(spark, sf_dir).read("filter_profile")
+
+
+def q43_published_data(spark, sf_dir):
+    return _published(spark, sf_dir).read("data_profile")
+
+
+def q44_latest_text_times(spark, sf_dir):
+    """q03 over times that are stored as text."""
+    lines = _t(spark, sf_dir)["lineitem"].withColumn("l_shipdate", c("l_shipdate").cast("string"))
+    rows = latest_preferred(lines, "l_orderkey", "l_shipdate", c("l_returnflag") == "N")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+                       c("l_shipdate").cast("timestamp_ntz").alias("l_shipdate"))
+
+
+def q45_latest_rows(spark, sf_dir):
+    """Both choices of latest lines (q03's and q04's) with one aggregation and one join back."""
+    valid, invalid = c("l_returnflag") == "N", c("l_returnflag") == "R"
+    targets = [LatestTarget("is_latest", valid), LatestTarget("in_period", valid, invalid, LINEITEM_PERIOD_START)]
+    rows = latest_rows(_t(spark, sf_dir)["lineitem"], "l_orderkey", "l_shipdate", targets)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", "is_latest", "in_period")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit() and callable(fn)
 }

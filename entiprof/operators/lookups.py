@@ -8,26 +8,37 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entiprof.operators.skew import Skew
+
 
 @dataclass(frozen=True)
 class JoinStep:
     """One right side of a join chain: a frame, its alias and an ON
-    condition written with alias-qualified columns (``F.col('a.x')``)."""
+    condition written with alias-qualified columns (``F.col('a.x')``).
+
+    ``key``: the pair of columns of ``on`` that may gather rows on few values, as (left
+    column, or the name of its heavy values and an expression; column of ``frame``)."""
 
     frame: DataFrame
     alias: str
     on: Column
     how: str = "left"
+    key: tuple[str | tuple[str, Column], str] | None = None
 
 
-def join_chain(base: DataFrame, base_alias: str, steps: Sequence[JoinStep]) -> DataFrame:
-    """Join ``base`` to each step in order. Later conditions may use columns
+def join_chain(base: DataFrame, base_alias: str, steps: Sequence[JoinStep], skew: Skew | None = None) -> DataFrame:
+    """Join ``base`` to each step in order; with ``skew``, steps that name a key are salted. Later conditions may use columns
     of earlier right sides; residual (non-key) conditions stay in the ON
     clause, where Catalyst pushes right-side ones into that side's scan.
     Rows are not de-duplicated: every match multiplies, as in SQL."""
     out = base.alias(base_alias)
     for step in steps:
-        out = out.join(step.frame.alias(step.alias), step.on, step.how)
+        right, on = step.frame, step.on
+        if skew is not None and step.key is not None and step.how == "left":
+            name, left_key = step.key[0] if isinstance(step.key[0], tuple) else (step.key[0], F.col(step.key[0]))
+            right, same_salt = skew.salted(right, step.alias, left_key, step.key[1], name)
+            on = on & same_salt
+        out = out.join(right.alias(step.alias), on, step.how)
     return out
 
 
@@ -35,6 +46,7 @@ def lookup_fallback(
     df: DataFrame,
     df_alias: str,
     lookups: Sequence[tuple[str, DataFrame, str, str]],
+    skew: Skew | None = None,
 ) -> tuple[DataFrame, Column]:
     """Left-join one dimension per code column of ``df`` and return the
     joined frame with the fallback column: the first looked-up value that is
@@ -44,12 +56,13 @@ def lookup_fallback(
     value)``; the same dimension may appear several times (it is aliased per
     use). Dimensions are small reference tables; AQE turns these joins into
     broadcasts when the runtime size allows, without a hint."""
-    out = df.alias(df_alias)
-    names = []
+    steps, names = [], []
     for i, (code, dim, dim_key, dim_value) in enumerate(lookups):
         a = f"__lk{i}"
-        out = out.join(dim.alias(a), F.col(f"{a}.{dim_key}") == F.col(f"{df_alias}.{code}"), "left")
+        on = F.col(f"{a}.{dim_key}") == F.col(f"{df_alias}.{code}")
+        steps.append(JoinStep(dim, a, on, key=(f"{df_alias}.{code}", dim_key)))
         names.append(F.col(f"{a}.{dim_value}").cast("string"))
+    out = join_chain(df, df_alias, steps, skew)
     codes = [F.col(f"{df_alias}.{code}").cast("string") for code, *_ in lookups]
     return out, F.coalesce(*names, *codes)
 

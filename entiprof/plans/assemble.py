@@ -55,6 +55,7 @@ from entiprof.operators.latest import (
     latest_rows,
 )
 from entiprof.operators.lookups import JoinStep, attribute_values, join_chain, lookup_fallback, repeat_join, rows_per_key
+from entiprof.operators.skew import Skew, heavy_values
 from entiprof.sources.sinks import Stage, write_tables
 from entiprof.sources.snapshots import Snapshots
 from entiprof.sources.tables import id_set, has_rows, restrict_to
@@ -68,7 +69,32 @@ c = F.col
 _BASE_KEYS = ("id", "company_id", "candidate_profile_id", "job_loc_id")
 
 
-def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
+# Columns that may gather many leads on one value, by table.
+_GATHERING = {
+    "lead": ("candidate_profile_id", "job_loc_id", "web_id", "added_by", "referred_by", "detect_language_code", "language_code"),
+    "lead_extra": ("job_req_id", "journey_stage_id"),
+    "job": ("company_brand_id", "job_family_id"),
+}
+
+
+def _tasks(t: Mapping[str, DataFrame]) -> int:
+    return int(t["lead"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def measure_skew(t: Mapping[str, DataFrame]) -> dict[str, Mapping[object, int]]:
+    """Heavy values of the columns that the chains join on, by the names that the join steps use."""
+    lead, extra, job = (heavy_values(t[name], columns, _tasks(t)) for name, columns in _GATHERING.items())
+    out = {f"{a}.{col}": v for a in ("lk", "lead") for col, v in lead.items()} | {f"extra.{col}": v for col, v in extra.items()}
+    return out | {f"job.{col}": v for col, v in job.items()} | {"job.job_req_id": extra["job_req_id"]}
+
+
+def _skew(t: Mapping[str, DataFrame], alias: str, heavy: Mapping | None) -> Skew | None:
+    if heavy is None:
+        return None
+    return Skew([f"{alias}.{k}" for k in _BASE_KEYS], heavy)
+
+
+def assemble_base(t: Mapping[str, DataFrame], heavy: Mapping | None = None) -> DataFrame:
     """Lead left-joined to twelve tables (R1), narrow first, wide last.
 
     The chain runs on the distinct combinations of the lead's join keys (alias
@@ -79,41 +105,46 @@ def assemble_base(t: Mapping[str, DataFrame]) -> DataFrame:
     ``lead``) meets the chain's rows of its own combination, NULLs being equal: a lead
     that stands twice gives each row twice, one without an id stays. Left
     joins whose conditions read only the lead and their own side commute, so this
-    order gives the same rows as the original's."""
+    order gives the same rows as the original's. ``heavy`` (of :func:`measure_skew`)
+    makes the joins on ids that may gather rows salted ones."""
     lead = t["lead"]
     keys = lead.select(*_BASE_KEYS).distinct()
     steps = [
         JoinStep(t["lead_extra"], "extra", c("lk.id") == c("extra.lead_id")),
-        JoinStep(t["candidate_profile"], "profile", c("lk.candidate_profile_id") == c("profile.id")),
+        JoinStep(t["candidate_profile"], "profile", c("lk.candidate_profile_id") == c("profile.id"), key=("lk.candidate_profile_id", "id")),
         JoinStep(
             t["journey_stage"], "jstage",
             (c("extra.journey_stage_id") == c("jstage.id")) & (c("lk.company_id") == c("jstage.company_id")),
+            key=("extra.journey_stage_id", "id"),
         ),
         JoinStep(
             t["stage_status"], "sstatus",
             (c("jstage.id") == c("sstatus.stage_id")) & (c("extra.journey_status_id") == c("sstatus.id")),
+            key=(("extra.journey_stage_id", c("jstage.id")), "stage_id"),
         ),
         JoinStep(
             t["company_area"], "area",
             (c("lk.job_loc_id") == c("area.job_loc_id")) & (c("lk.company_id") == c("area.company_id")),
+            key=("lk.job_loc_id", "job_loc_id"),
         ),
-        JoinStep(t["job_loc"], "jl", (c("lk.job_loc_id") == c("jl.id")) & (c("jl.is_deleted") == 0)),
-        JoinStep(t["job"], "job", (c("extra.job_req_id") == c("job.job_req_id")) & (c("job.base_id") > 0)),
+        JoinStep(t["job_loc"], "jl", (c("lk.job_loc_id") == c("jl.id")) & (c("jl.is_deleted") == 0), key=("lk.job_loc_id", "id")),
+        JoinStep(t["job"], "job", (c("extra.job_req_id") == c("job.job_req_id")) & (c("job.base_id") > 0), key=("extra.job_req_id", "job_req_id")),
         JoinStep(
             t["job_location"], "jloc",
-            (c("job.id") == c("jloc.job_id")) & (c("area.id") == c("jloc.company_area_id")),
+            (c("job.id") == c("jloc.job_id")) & (c("area.id") == c("jloc.company_area_id")), key=("job.id", "job_id"),
         ),
-        JoinStep(t["company_brand"], "brand", (c("job.company_brand_id") == c("brand.id")) & (c("brand.status") == 1)),
+        JoinStep(t["company_brand"], "brand", (c("job.company_brand_id") == c("brand.id")) & (c("brand.status") == 1), key=("job.company_brand_id", "id")),
         JoinStep(
             t["live_job"], "live",
             (c("job.id") == c("live.job_id"))
             & (c("job.job_req_id") == c("live.job_req_id"))
             & (c("jl.id") == c("live.job_loc_id")),
+            key=("job.job_req_id", "job_req_id"),
         ),
         JoinStep(t["event_itv_lead"], "eitv", c("lk.id") == c("eitv.lead_id")),
         JoinStep(t["previous_application"], "prev", c("lk.id") == c("prev.application_id")),
     ]
-    narrow = join_chain(keys, "lk", steps)
+    narrow = join_chain(keys, "lk", steps, _skew(t, "lk", heavy))
     same = reduce(lambda a, b: a & b, [c(f"lk.{k}").eqNullSafe(c(f"lead.{k}")) for k in _BASE_KEYS])
     return narrow.join(lead.alias("lead"), same, "inner")
 
@@ -223,8 +254,8 @@ APPLICATION_COLUMNS = (
 )
 
 
-def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES,
-                       since: str = APPLICATION_PERIOD_START, picked: DataFrame | None = None) -> DataFrame:
+def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES, since: str = APPLICATION_PERIOD_START,
+                       picked: DataFrame | None = None, heavy: Mapping | None = None) -> DataFrame:
     """Per lead that has a lead_extra row, its latest application in
     the period (valid preferred) with requisition / title fallbacks, the
     folder code and a few lead fields. ``picked``: those applications, where the
@@ -240,11 +271,11 @@ def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES,
     steps = [
         JoinStep(t["lead_extra"], "extra", c("l.id") == c("extra.lead_id"), "inner"),
         JoinStep(apps, "app", c("app.lead_id") == c("l.id")),
-        JoinStep(t["job"], "job", (c("job.job_req_id") == c("extra.job_req_id")) & (c("job.base_id") > 0)),
-        JoinStep(t["widget"], "widget", (c("widget.id") == c("l.web_id")) & (c("widget.company_id") == c("l.company_id"))),
-        JoinStep(t["applied_job_extension"], "ext", c("ext.applied_job_id") == c("app.id")),
+        JoinStep(t["job"], "job", (c("job.job_req_id") == c("extra.job_req_id")) & (c("job.base_id") > 0), key=("extra.job_req_id", "job_req_id")),
+        JoinStep(t["widget"], "widget", (c("widget.id") == c("l.web_id")) & (c("widget.company_id") == c("l.company_id")), key=(("lead.web_id", c("l.web_id")), "id")),
+        JoinStep(t["applied_job_extension"], "ext", c("ext.applied_job_id") == c("app.id"), key=("app.id", "applied_job_id")),
     ]
-    j = join_chain(t["lead"], "l", steps)
+    j = join_chain(t["lead"], "l", steps, None if heavy is None else Skew(["l.id", "l.company_id", "l.web_id"], heavy))
     valid = c("app.is_valid")
 
     def not_invalid(value):
@@ -313,7 +344,7 @@ def external_rollup(t: Mapping[str, DataFrame]) -> DataFrame:
     return group_maxes(t["external_map"], ["company_id", "oid"], ["ex_id_1", "ex_id_2", "ex_id_3", "ex_source"])
 
 
-def source_star(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES) -> DataFrame:
+def source_star(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES, heavy: Mapping | None = None) -> DataFrame:
     """Leads passing the source filter (P10) left-joined to the fourteen
     relations the classification reads. Aliases: lead, evt, camp, wtype, ww,
     auth, cuser, contact, referrer, ext, extra, jl, job, jfam, live."""
@@ -327,24 +358,27 @@ def source_star(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES) -> Dat
             newest_widget_per_type(t, codes), "wtype",
             (c("wtype.widget_type") == widget_type_key(c("lead.source"), c("lead.web_id"), codes))
             & same_company("wtype"),
+            # -1 matches no type: as good as NULL
+            key=(("widget type", F.nullif(widget_type_key(c("lead.source"), c("lead.web_id"), codes), F.lit(-1))), "widget_type"),
         ),
-        JoinStep(t["widget"], "ww", (c("ww.id") == c("lead.web_id")) & same_company("ww")),
-        JoinStep(t["auth_user"], "auth", c("auth.id") == c("lead.added_by")),
-        JoinStep(t["company_user"], "cuser", (c("cuser.user_id") == c("lead.added_by")) & same_company("cuser")),
-        JoinStep(t["contact"], "contact", c("cuser.user_id") == c("contact.user_id")),
-        JoinStep(t["employee"], "referrer", (c("referrer.id") == c("lead.referred_by")) & same_company("referrer")),
+        JoinStep(t["widget"], "ww", (c("ww.id") == c("lead.web_id")) & same_company("ww"), key=("lead.web_id", "id")),
+        JoinStep(t["auth_user"], "auth", c("auth.id") == c("lead.added_by"), key=("lead.added_by", "id")),
+        JoinStep(t["company_user"], "cuser", (c("cuser.user_id") == c("lead.added_by")) & same_company("cuser"), key=("lead.added_by", "user_id")),
+        JoinStep(t["contact"], "contact", c("cuser.user_id") == c("contact.user_id"), key=(("lead.added_by", c("cuser.user_id")), "user_id")),
+        JoinStep(t["employee"], "referrer", (c("referrer.id") == c("lead.referred_by")) & same_company("referrer"), key=("lead.referred_by", "id")),
         JoinStep(external_rollup(t), "ext", (c("ext.oid") == c("lead.long_id")) & same_company("ext")),
-        JoinStep(t["job_loc"], "jl", (c("jl.id") == c("lead.job_loc_id")) & (c("jl.is_deleted") == 0)),
-        JoinStep(t["job"], "job", (c("job.job_req_id") == c("extra.job_req_id")) & (c("job.base_id") > 0)),
-        JoinStep(t["job_family"], "jfam", c("job.job_family_id") == c("jfam.id")),
+        JoinStep(t["job_loc"], "jl", (c("jl.id") == c("lead.job_loc_id")) & (c("jl.is_deleted") == 0), key=("lead.job_loc_id", "id")),
+        JoinStep(t["job"], "job", (c("job.job_req_id") == c("extra.job_req_id")) & (c("job.base_id") > 0), key=("extra.job_req_id", "job_req_id")),
+        JoinStep(t["job_family"], "jfam", c("job.job_family_id") == c("jfam.id"), key=("job.job_family_id", "id")),
         JoinStep(
             t["live_job"], "live",
             (c("job.id") == c("live.job_id"))
             & (c("job.job_req_id") == c("live.job_req_id"))
             & (c("jl.id") == c("live.job_loc_id")),
+            key=("job.job_req_id", "job_req_id"),
         ),
     ]
-    return join_chain(lead, "lead", steps)
+    return join_chain(lead, "lead", steps, _skew(t, "lead", heavy))
 
 
 SOURCE_DATA_COLUMNS = (
@@ -454,11 +488,12 @@ def attendee_sets(t: Mapping[str, DataFrame]) -> DataFrame:
     return sets.select(*ATTENDEE_COLUMNS.values(), c("candidate_id").alias("lead_id"))
 
 
-def candidate_language(t: Mapping[str, DataFrame]) -> DataFrame:
+def candidate_language(t: Mapping[str, DataFrame], heavy: Mapping | None = None) -> DataFrame:
     """Detected language name, else language name, else the codes."""
     lang = t["language"]
     joined, value = lookup_fallback(
-        t["lead"], "lead", [("detect_language_code", lang, "code", "name"), ("language_code", lang, "code", "name")]
+        t["lead"], "lead", [("detect_language_code", lang, "code", "name"), ("language_code", lang, "code", "name")],
+        None if heavy is None else Skew(["lead.id", "lead.company_id"], heavy),
     )
     return joined.select(c("lead.id").alias("lead_id"), value.alias("candidate_language"))
 
@@ -538,7 +573,9 @@ def build_profiles(
         # S3: the restricted lead table feeds six branches of the build
         (t["lead"],) = stage.keep(("lead", t["lead"]))
 
-    base, star = assemble_base(t), source_star(t, codes)
+    # a build that keeps frames runs jobs anyhow: one more pass over two tables finds the heavy keys
+    heavy = measure_skew(t) if materialize_mode else None
+    base, star = assemble_base(t, heavy), source_star(t, codes, heavy)
     flat = [*project_filter_columns(codes), *(x for x in project_data_columns() if x[0] not in ("lead_id", "company_id"))]
     src_filter, src_data = (dict(x) for x in source_column_lists(codes))
     base, star, picked = stage.keep(
@@ -546,7 +583,7 @@ def build_profiles(
         ("sources", star.select(*[x.alias(name) for name, x in {**src_filter, **src_data}.items()])),
         ("applications", picked_applications(t, since)),
     )
-    (detail,) = stage.keep(("detail", application_detail(t, codes, since, picked.where("in_period"))))
+    (detail,) = stage.keep(("detail", application_detail(t, codes, since, picked.where("in_period"), heavy)))
     latest = picked.where("is_latest").select(c("id").alias("latest_apply_job_id"), "lead_id")
 
     filt = base.select(*[name for name, _ in project_filter_columns(codes)])
@@ -579,7 +616,7 @@ def build_profiles(
     data = repeat_join(data, repeats.select("lead_id", "multi_apply_profile_id", "copies"), "lead_id")
     data = data.join(attendee_sets(t), "lead_id", "left")
     data = data.join(star.select(*src_data), "lead_id", "left")
-    data = data.join(candidate_language(t), "lead_id", "left")
+    data = data.join(candidate_language(t, heavy), "lead_id", "left")
     return Profiles(filter=filt, data=data, stage=stage)
 
 

@@ -214,6 +214,46 @@ def test_bpe(spark, documents):
         assert np.frombuffer(got[k].ids, "<u4").tolist() == ids and got[k].decoded == t.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_of_every_code_point_between_letters():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, codec = Tokenizer.from_file(path), bpe.Codec(bpe.load(path))
+    made = [f"a{chr(c)}b {chr(c)}{chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    made = [" ".join(made[i : i + 16]) for i in range(0, len(made), 16)]
+    for i in range(0, len(made), 4000):
+        want = [e.ids for e in t.encode_batch(made[i : i + 4000], add_special_tokens=False)]
+        assert [np.frombuffer(b"".join(p[0] for p in d), "<u4").tolist() for d in codec.encode(made[i : i + 4000])] == want
+
+
+def test_trees_of_many_words_equal_each_alone():
+    import public_tokenizers
+
+    v, rng = bpe.load(public_tokenizers.path("word_bpe_49k.json")), np.random.default_rng(6)
+    for n in (1, 2, 3, 4, 5, 9, 17, 64):
+        words = rng.choice(np.frombuffer(b"aabbeehnorst", np.uint8), (50, n))
+        symbols = v.inner[words]
+        ids, count = bpe.merge_together(symbols.copy(), v)
+        alone = [bpe.merge(s.tolist(), v) for s in symbols]
+        assert ids.tolist() == sum(alone, []) and count.tolist() == [len(a) for a in alone]
+
+
+def test_bpe_forgets_words_and_cuts_long_texts(spark, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(4)
+    made = [" ".join(rng.choice(["alpha", "Beta's", "γάμμα", "delta42", "x" * 80, "<|endoftext|>"]) for _ in range(30)) for _ in range(40)]
+    made.append("long word" * 300_000)
+    t, codec = Tokenizer.from_file(path), bpe.Codec(bpe.load(path))
+    for text in made:
+        (parts,) = codec.encode([text])
+        assert np.frombuffer(b"".join(p[0] for p in parts), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert len(codec.young) <= 6 + 3
+
+
 def test_mix(spark, documents):
     a, b = rows(spark, "op10_mix"), rows(spark, "op10_mix")
     assert a == b

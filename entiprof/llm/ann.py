@@ -103,10 +103,16 @@ def _candidates(order: np.ndarray, arrays: np.ndarray, asked: np.ndarray, base:
     return met
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row by a power of two, so that its largest component lies between 1/2 and 1: squares of
+    very large or small components neither overflow nor vanish, and no digit of a cosine changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _best(points: pd.DataFrame, queries: pd.DataFrame, d: int, keep: int, least: int, share: float) -> pd.DataFrame:
     """For each query its ``keep`` best candidates of a shard by cosine, in double precision, ties to the smaller id."""
     unpack = lambda c, kind, n: np.frombuffer(b"".join(c), kind).reshape(-1, n)
-    p, q = unpack(points["v"], np.float64, d), unpack(queries["w"], np.float64, d)
+    p, q = scaled(unpack(points["v"], np.float64, d)), scaled(unpack(queries["w"], np.float64, d))
     trees = len(points["s"].iloc[0]) // 8
     names, asked = unpack(points["s"], np.int64, trees).T.copy(), unpack(queries["t"], np.int64, trees)
     order = np.argsort(names, axis=1, kind="stable")

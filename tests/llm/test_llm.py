@@ -8,13 +8,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
-from entiprof.llm import ann, bpe, fingerprints, linededup, mix, neardup, pii, secrets, toxicity  # noqa: E402
+from entiprof.llm import ann, bpe, fingerprints, linededup, lm, mix, neardup, pii, secrets, toxicity  # noqa: E402
 from entiprof.llm.queries import QUERIES  # noqa: E402
 
 
@@ -158,6 +159,76 @@ def test_nearest_of_odd_vectors(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 7), (0, 3, 6)]
 
 
+def test_nearest_of_very_large_and_small_vectors(spark):
+    made = [(0, [1e200, 1e200]), (1, [1.0, 1.0]), (2, [1e-200, 0.0]), (3, [3.0, 1.0]), (4, [-1e300, 1e-300]), (5, [5e-324, 0.0])]
+    v = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(v, spark.createDataFrame([(0,), (1,)], "query_id long")).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 6)))
+    rest = [(3, 0.894427), (2, 0.707107), (5, 0.707107), (4, -0.707107)]
+    assert got == {0: [(1, 1.0), *rest], 1: [(0, 1.0), *rest]}
+    empty = v.limit(0)
+    assert ann.search(empty, empty.select("vec_id").withColumnRenamed("vec_id", "query_id")).collect() == []
+    more = v.withColumn("e", F.lit(1)).withColumn("vid", F.lit("x")).withColumn("s", F.lit(2))
+    assert ann.search(more, spark.createDataFrame([(0,)], "query_id long")).count() == 5
+
+
+def test_language_model_of_odd_texts(spark, monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    # more words than are handed to every task, all as frequent as texts are many
+    monkeypatch.setattr(lm, "HEAD", 50)
+    many = " ".join(f"w{i}" for i in range(400) for _ in range(2))
+    made = [(2, many), (2, many), (None, None), (3, ""), (4, "a  b\n"), (5, "A b c")]
+    docs = spark.createDataFrame([(k, t, "x", 1) for k, t in made], "doc_id long, text string, key string, n int")
+    # the plain version goes by id: a row that repeats has an id of its own there
+    other = next(i for i in range(100, 200) if brute.crc_mod5(i) == brute.crc_mod5(2))
+    want = brute.base_scores([made[0], (other, many), *made[2:]])
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0)
+    for layout in (docs.repartition(1), docs.repartition(5)):
+        got = sorted(lm.score_texts(layout, path).collect(), key=key)
+        assert len(got) == len(made)
+        for r in got:
+            n, known, total, base = want[r.doc_id]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and abs(r.base_score - base) < 1e-9 * abs(base)
+    assert lm.score_texts(docs.limit(0), path).collect() == []
+
+
+def test_language_model_does_not_depend_on_the_layout(spark):
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    one, five = ({r.doc_id: r.score for r in lm.score_texts(docs.repartition(n), public_tokenizers.path("byte_bpe_50k.json")).collect()} for n in (1, 5))
+    assert all(abs(one[k] - five[k]) <= 1e-4 * abs(one[k]) for k in one)
+
+
+def test_scores_follow_from_the_weights():
+    rng = np.random.default_rng(3)
+    pairs = np.arange(0, lm.V * lm.V, 97)
+    counted = lm.Counted(pairs, rng.integers(1, 50, len(pairs)))
+    p = {n: (0.2 * rng.normal(size=s)).astype(np.float32) for n, s in lm.SHAPES.items()}
+    ids, first = rng.integers(0, lm.V, 60).astype(np.int16), np.array([0, 41, 60])
+    x, valid, y, _ = lm.windows(ids, first)
+    got, before = lm.log_probabilities(p, counted, x, valid, y), lm.previous(ids, first)
+    scored = 0
+    for w in range(len(x)):
+        for j in range(lm.STRIDE):
+            at = lm.WINDOW - lm.STRIDE + j
+            if not valid[w, at]:
+                continue
+            q, s = p["q"][x[w, at]] + p["pq"][j], []
+            seen = [i for i in range(at + 1) if valid[w, i]]
+            s = np.array([q @ (p["k"][x[w, i]] + p["pk"][i]) * lm.DIM**-0.5 for i in seen])
+            a = np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+            z = sum(a[n] * p["v"][x[w, i]] for n, i in enumerate(seen)) @ p["o"] + counted.log_class[x[w, at]]
+            c = counted.of[y[w, j]]
+            want = z[c] - z.max() - np.log(np.exp(z - z.max()).sum()) + counted.within[x[w, at], y[w, j]]
+            assert abs(got[w, j] - want) < 1e-4
+            scored += 1
+    assert scored == len(ids) and len(before) == len(ids)
+
+
 def test_language_model_base(spark, documents):
     got = rows(spark, "op7_lm")
     for k, (n, known, total, base) in brute.base_scores(list(documents.items())).items():

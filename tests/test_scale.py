@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from entiprof.operators.aggregates import conditional_span_joined
 from entiprof.operators.latest import latest_preferred
 from entiprof.operators.lookups import JoinStep, join_chain
+from entiprof.plans import assemble
 from entiprof.plans import queries as Q
 from tests.conftest import SF_SMALL
 
@@ -99,7 +100,8 @@ def test_period_filter_reaches_the_scan(spark):
 def test_changed_id_semi_joins_are_broadcast_up_front(spark):
     import re
 
-    df = Q.QUERIES["q32_incremental_profile"](spark, SF_SMALL)
+    changed = Q.changed_lead_ids(Q._t(spark, SF_SMALL))
+    df = assemble.build_profiles(Q._roles(spark, SF_SMALL), since=Q.ROLE_PERIOD_START, changed_ids=changed).data
     plan = df._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("== Initial Plan ==")[-1]
     semi = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[[^\]]*\], \[[^\]]*__restrict_key[^\]]*\], LeftSemi", initial)

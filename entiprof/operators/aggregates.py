@@ -151,6 +151,11 @@ def sorted_set_text(col: str | Column, sep: str = ",") -> Column:
     return F.concat_ws(sep, F.array_sort(F.collect_set(c.cast("string"))))
 
 
+def value_cells(cols: Sequence[str]) -> Column:
+    """An array of (place of the column, value as text), one of each column."""
+    return F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("string").alias("__v")) for i, c in enumerate(cols)])
+
+
 def set_concat(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -165,7 +170,7 @@ def set_concat(
     and de-duplicates them in an exchange hashed on the value as well, so a
     group holding a large share of the rows is spread over many reducers;
     the per-group step then receives each distinct value once, which is the
-    size of its output. ``collect_set`` is the one-exchange form: each map
+    size of its output (groups without a bound: ``ordered.set_concat_parts``). ``collect_set`` is the one-exchange form: each map
     task sends its partial set per group, so a hot group receives one set
     per map task."""
     ks = _keys(keys)
@@ -174,12 +179,9 @@ def set_concat(
         return df.groupBy(*ks).agg(*[sorted_set_text(c, sep).alias(a) for c, a in pairs])
     if method != "distinct_first":
         raise ValueError(f"unknown method {method!r}")
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("__c"), F.col(c).cast("string").alias("__v")) for i, (c, _) in enumerate(pairs)
-    ])
     # NULL values stay (one per group and column after the distinct) so that a
     # group whose values are all NULL still appears, with ''.
-    long = df.select(*ks, F.inline(cells)).distinct()
+    long = df.select(*ks, F.inline(value_cells(list(cols)))).distinct()
     return long.groupBy(*ks).agg(*[
         F.concat_ws(sep, F.array_sort(F.collect_list(F.when(F.col("__c") == i, F.col("__v"))))).alias(a)
         for i, (_, a) in enumerate(pairs)

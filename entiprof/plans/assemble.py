@@ -56,6 +56,7 @@ from entiprof.operators.latest import (
 )
 from entiprof.operators.lookups import JoinStep, attribute_values, join_chain, lookup_fallback, repeat_join, rows_per_key
 from entiprof.operators.skew import Skew, heavy_values
+from entiprof.sources.layout import id_cover
 from entiprof.sources.sinks import Stage, write_tables
 from entiprof.sources.snapshots import Snapshots
 from entiprof.sources.tables import id_set, has_rows, restrict_to
@@ -521,12 +522,16 @@ LEAD_KEYED = {
 }
 
 
-def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame) -> dict[str, DataFrame]:
+def _restrict_lead_keyed(t: dict[str, DataFrame], changed_ids: DataFrame, push: bool = False) -> dict[str, DataFrame]:
+    """The lead-keyed tables cut to the change set; with ``push``, which runs a job, scans skip
+    row groups that hold none of it."""
     ids = id_set(changed_ids)
+    cover = id_cover(ids) if push else None
     out = dict(t)
     for name, key in LEAD_KEYED.items():
         if name in out:
-            out[name] = restrict_to(out[name], ids, key, "id")
+            rows = out[name] if cover is None else out[name].where(cover(key))
+            out[name] = restrict_to(rows, ids, key, "id")
     # messages belong to a lead through their recorded-interview parent
     if "recorded_message" in out and "recorded_candidate" in out:
         parents = out["recorded_candidate"].select("id")
@@ -569,7 +574,7 @@ def build_profiles(
     all_leads = t["lead"]
     stage = Stage(all_leads.sparkSession, materialize_mode)
     if changed_ids is not None:
-        t = _restrict_lead_keyed(t, changed_ids)
+        t = _restrict_lead_keyed(t, changed_ids, push=materialize_mode is not None)
         # S3: the restricted lead table feeds six branches of the build
         (t["lead"],) = stage.keep(("lead", t["lead"]))
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entiprof.functions.predicates import json_equals, map_lookup, valid_name_flag
+from entiprof.job import ROLE_TABLES
 from entiprof.operators.aggregates import (
     conditional_span_joined,
     group_maxes,
@@ -36,6 +37,7 @@ from entiprof.operators.ordered import set_concat_parts
 from entiprof.plans import assemble
 from entiprof.plans.roles import role_frames
 from entiprof.session import ensure_checkpoint_dir
+from entiprof.sources.layout import open_inputs, store_inputs
 from entiprof.sources.sinks import Stage, write_table
 from entiprof.sources.snapshots import Snapshots
 from entiprof.sources.tables import load_tables, restrict_to
@@ -428,6 +430,16 @@ def q45_latest_rows(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", "is_latest", "in_period")
 
 
+def q46_stored_inputs(spark, sf_dir):
+    """q32 from inputs that are stored by lead: bucketed scans, cut to the row groups that may hold changed leads."""
+    t, roles = _t(spark, sf_dir), _roles(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/entiprof-inputs-{uuid.uuid4().hex}"
+    store_inputs({name: roles[name] for name in ROLE_TABLES}, root, assemble.LEAD_KEYED, buckets=8)
+    return assemble.build_profiles(
+        open_inputs(spark, root), since=ROLE_PERIOD_START, changed_ids=changed_lead_ids(t), materialize_mode="table"
+    ).data
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit() and callable(fn)
 }

@@ -55,6 +55,7 @@ from entiprof.operators.latest import (
     latest_rows,
 )
 from entiprof.operators.lookups import JoinStep, attribute_values, join_chain, lookup_fallback, repeat_join, rows_per_key
+from entiprof.operators.ranks import joined_max_by_number, ordered_numbers
 from entiprof.operators.skew import Skew, heavy_values
 from entiprof.sources.layout import id_cover
 from entiprof.sources.sinks import Stage, write_tables
@@ -315,20 +316,22 @@ def application_detail(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES,
 # ---------------------------------------------------------------- source star
 
 
-def source_event(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Per (event company, lead) the max event name."""
-    return joined_max(
+def source_event(t: Mapping[str, DataFrame], numbers: DataFrame | None = None) -> DataFrame:
+    """Per (event company, lead) the max event name. ``numbers``: those of the names, where they are kept."""
+    args = (
         t["event_candidate"].alias("ec"), t["event"].alias("e"), c("e.id") == c("ec.event_id"),
         [c("e.company_id").alias("company_id"), c("ec.lead_id").alias("lead_id")], c("e.name"),
     )
+    return joined_max(*args) if numbers is None else joined_max_by_number(*args, numbers)
 
 
-def source_campaign(t: Mapping[str, DataFrame]) -> DataFrame:
-    """R10d: per (campaign company, lead) the max campaign name."""
-    return joined_max(
+def source_campaign(t: Mapping[str, DataFrame], numbers: DataFrame | None = None) -> DataFrame:
+    """R10d: per (campaign company, lead) the max campaign name. ``numbers`` as in :func:`source_event`."""
+    args = (
         t["campaign_contact"].alias("cc"), t["outbound_campaign"].alias("oc"), c("oc.id") == c("cc.campaign_id"),
         [c("oc.company_id").alias("company_id"), c("cc.lead_id").alias("lead_id")], c("oc.name"),
     )
+    return joined_max(*args) if numbers is None else joined_max_by_number(*args, numbers)
 
 
 def newest_widget_per_type(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES) -> DataFrame:
@@ -345,16 +348,22 @@ def external_rollup(t: Mapping[str, DataFrame]) -> DataFrame:
     return group_maxes(t["external_map"], ["company_id", "oid"], ["ex_id_1", "ex_id_2", "ex_id_3", "ex_source"])
 
 
-def source_star(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES, heavy: Mapping | None = None) -> DataFrame:
+def source_star(t: Mapping[str, DataFrame], codes: Codes = DEFAULT_CODES, heavy: Mapping | None = None,
+                stage: Stage | None = None) -> DataFrame:
     """Leads passing the source filter (P10) left-joined to the fourteen
     relations the classification reads. Aliases: lead, evt, camp, wtype, ww,
-    auth, cuser, contact, referrer, ext, extra, jl, job, jfam, live."""
+    auth, cuser, contact, referrer, ext, extra, jl, job, jfam, live. With a ``stage``
+    that keeps frames, the max names of events and campaigns are found by number."""
+    events = campaigns = None
+    if stage is not None and stage.mode is not None:
+        events, campaigns = ordered_numbers(
+            ("event-name", t["event"], c("name")), ("campaign-name", t["outbound_campaign"], c("name")), stage=stage)
     lead = t["lead"].where(source_lead_predicate("name", "status", codes.status_removed))
     same_company = lambda a: c(f"{a}.company_id") == c("lead.company_id")
     steps = [
         JoinStep(t["lead_extra"], "extra", c("lead.id") == c("extra.lead_id")),
-        JoinStep(source_event(t), "evt", (c("evt.lead_id") == c("lead.id")) & same_company("evt")),
-        JoinStep(source_campaign(t), "camp", (c("camp.lead_id") == c("lead.id")) & same_company("camp")),
+        JoinStep(source_event(t, events), "evt", (c("evt.lead_id") == c("lead.id")) & same_company("evt")),
+        JoinStep(source_campaign(t, campaigns), "camp", (c("camp.lead_id") == c("lead.id")) & same_company("camp")),
         JoinStep(
             newest_widget_per_type(t, codes), "wtype",
             (c("wtype.widget_type") == widget_type_key(c("lead.source"), c("lead.web_id"), codes))
@@ -564,7 +573,7 @@ def build_profiles(
     count (R12) then uses the *full* lead table limited to the profiles of
     the changed leads, so an incremental row equals the full-run row.
 
-    Four frames feed more than one place and are kept by ``materialize_mode``
+    Four frames feed more than one place and are kept, beside the numbers of names, by ``materialize_mode``
     (see :class:`Stage`): the base columns of both profiles, the picked applications,
     the application detail and the source columns. The two steps that join a
     profile to something derived from itself (R12's repeats, R16's attribute) take
@@ -580,7 +589,7 @@ def build_profiles(
 
     # a build that keeps frames runs jobs anyhow: one more pass over two tables finds the heavy keys
     heavy = measure_skew(t) if materialize_mode else None
-    base, star = assemble_base(t, heavy), source_star(t, codes, heavy)
+    base, star = assemble_base(t, heavy), source_star(t, codes, heavy, stage)
     flat = [*project_filter_columns(codes), *(x for x in project_data_columns() if x[0] not in ("lead_id", "company_id"))]
     src_filter, src_data = (dict(x) for x in source_column_lists(codes))
     base, star, picked = stage.keep(

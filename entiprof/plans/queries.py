@@ -18,7 +18,6 @@ from entiprof.job import ROLE_TABLES
 from entiprof.operators.aggregates import (
     conditional_span_joined,
     group_maxes,
-    joined_max,
     repeat_entities,
     set_concat,
     sum_count,
@@ -34,6 +33,7 @@ from entiprof.operators.latest import (
 )
 from entiprof.operators.lookups import JoinStep, attribute_lookup, join_chain, lookup_fallback
 from entiprof.operators.ordered import set_concat_parts
+from entiprof.operators.ranks import joined_max_by_number, ordered_numbers
 from entiprof.plans import assemble
 from entiprof.plans.roles import role_frames
 from entiprof.session import ensure_checkpoint_dir
@@ -135,9 +135,10 @@ def q08_sum_count(spark, sf_dir):
 
 def q09_max_name(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return joined_max(
+    (names,) = ordered_numbers(("part-name", t["part"], c("p_name")), stage=Stage(spark, "table"))
+    return joined_max_by_number(
         t["lineitem"].alias("li"), t["part"].alias("p"), c("p.p_partkey") == c("li.l_partkey"),
-        [c("li.l_suppkey").alias("l_suppkey"), c("li.l_orderkey").alias("l_orderkey")], c("p.p_name"), "max_name",
+        [c("li.l_suppkey").alias("l_suppkey"), c("li.l_orderkey").alias("l_orderkey")], c("p.p_name"), names, "max_name",
     )
 
 
@@ -235,9 +236,10 @@ def q27_map_lookup(spark, sf_dir):
 
 def q28_max_name_campaign(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return joined_max(
-        t["orders"].alias("o"), t["customer"].alias("cu"), c("cu.c_custkey") == c("o.o_custkey"),
-        [c("cu.c_nationkey").alias("c_nationkey"), c("o.o_custkey").alias("o_custkey")], c("o.o_orderpriority"),
+    (names,) = ordered_numbers(("priority", t["orders"], c("o_orderpriority")), stage=Stage(spark, "table"))
+    return joined_max_by_number(
+        t["customer"].alias("cu"), t["orders"].alias("o"), c("cu.c_custkey") == c("o.o_custkey"),
+        [c("cu.c_nationkey").alias("c_nationkey"), c("o.o_custkey").alias("o_custkey")], c("o.o_orderpriority"), names,
         "max_priority",
     )
 
@@ -254,7 +256,7 @@ def q29_write_read(spark, sf_dir):
 
 
 def q13_source_star(spark, sf_dir):
-    star = assemble.source_star(_roles(spark, sf_dir))
+    star = assemble.source_star(_roles(spark, sf_dir), stage=Stage(spark, "table"))
     return star.select(
         c("lead.id").alias("lead_id"), c("evt.name").alias("event_name"), c("camp.name").alias("campaign_name"),
         c("wtype.name").alias("type_widget_name"), c("ww.id").alias("web_widget_id"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import base64
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -81,12 +83,55 @@ def test_endpoint_longer_than_the_scope(spark):
     assert got == {1: ["assign", "endpoint", "login"], 2: ["assign", "endpoint", "login"]}
 
 
+def contained(a: set, b: set) -> float:
+    return len(a & b) / len(a) if a and b else float(a == b)
+
+
 def test_fingerprints(spark, documents):
-    got, after = rows(spark, "op2_fingerprints"), brute.edited([(k, t or "") for k, t in documents.items()])
+    texts = {k: t or "" for k, t in documents.items()}
+    got, after = rows(spark, "op2_fingerprints"), brute.edited(list(texts.items()))
     assert {k: r["edited_sha256"] for k, r in got.items()} == {k: brute.sha(t) for k, t in after.items()}
-    for k, t in documents.items():
-        a, b = brute.shingles(t, 5), brute.shingles(after[k], 5)
-        assert abs(len(a & b) / len(a) - got[k]["near_edited"]) < 0.25
+    order = sorted(texts, reverse=True)
+    off = []
+    for k, n in zip(order, order[1:] + order[:1]):
+        a, b, c = (brute.shingles(t, 5) for t in (texts[k], after[k], texts[n]))
+        near = 5 * (1 / max(len(a), 1)) ** 0.5  # five standard deviations of a share among a quarter of the shingles, at most
+        for other, column in ((b, "near_edited"), (c, "near_next")):
+            assert abs(contained(a, other) - got[k][column]) < near
+            off.append(((len(a) + 1) ** 0.5, contained(a, other) - got[k][column]))
+    weight, error = np.array(off).T
+    assert abs(np.average(error, weights=weight)) < 0.01 and np.average(error**2, weights=weight) ** 0.5 < 0.1
+
+
+def hashes(fingerprint: str) -> set[int]:
+    raw = base64.b64decode(fingerprint)
+    return {int.from_bytes(raw[i : i + 6], "big") for i in range(0, len(raw), 6)}
+
+
+def test_sketches_keep_one_fraction_and_merge(spark):
+    draw = random.Random(5)
+    made = [(i, " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))) for i, n in enumerate([40, 400, 4000, 40_000, 400_000, 400_000])]
+    made += [(6, "a b c d e"), (7, "A b c d e"), (8, "a b"), (9, ""), (10, made[3][1] + " " + made[2][1])]
+    got = {r.doc_id: r for r in fingerprints.fingerprint(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    kept = {k: hashes(r.fingerprint) for k, r in got.items()}
+    for k, t in made[1:6]:
+        n = len(brute.shingles(t, 5))
+        assert abs(len(kept[k]) - n / 4) < 5 * (n * 3 / 16) ** 0.5 and max(kept[k]) < 1 << 46, k
+    assert got[6].fingerprint == got[7].fingerprint and len(kept[6]) == len(kept[8]) == 1 and got[9].fingerprint == ""
+    # a text of two others: their sketches' union, and what the four shingles across the seam add
+    assert kept[2] | kept[3] <= kept[10] and len(kept[10] - kept[2] - kept[3]) <= 4
+
+
+def test_edits_of_an_id_with_a_third_of_the_rows(spark):
+    made = [(None, f"null {i} " + "x y " * (i % 9)) for i in range(400)] + [(7, f"seven {i} a b c d") for i in range(400)]
+    made += [(i, f"own {i} text of some words") for i in range(-200, 200) if i != 7] + [(None, "twice"), (None, "twice"), (7, None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    placed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t")).collect()
+    order = sorted(placed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h), reverse=True)
+    want = sorted((str(a.doc_id), brute.sha(a.t[: len(a.t) - len(a.t) // 3] + b.t[: len(a.t) // 3])) for a, b in zip(order, order[1:] + order[:1]))
+    out = fingerprints.fingerprint_edits(docs).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in out) == want
+    assert max(Counter(r.task for r in out).values()) < 2 * len(out) / 8
 
 
 def test_near_duplicates(spark, documents):

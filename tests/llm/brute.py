@@ -114,3 +114,14 @@ def first_runs(docs: list[tuple[int, str]], min_run: int) -> dict[int, set[int]]
             else:
                 first[g] = (d, i)
     return out
+
+
+def targets(sizes: dict, weights=(3, 1, 2), share=1.5, most=2.0) -> dict:
+    """By bisection: the level at which min(weight * level, most * size) sum to the share of all words."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    at = lambda level: {s: min(weights[i % len(weights)] * level, most * sizes[s]) for i, s in enumerate(order)}
+    low, high = 0.0, 2.0 * most * sum(sizes.values()) + 1
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(at(mid).values()) < share * sum(sizes.values()) else (low, mid)
+    return at(high)

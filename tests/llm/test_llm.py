@@ -374,8 +374,47 @@ def test_mix(spark, documents):
     a, b = rows(spark, "op10_mix"), rows(spark, "op10_mix")
     assert a == b
     assert all(r["size"] == len(brute.WORD.findall(documents[k] or "")) and r["taken"] in (0, r["size"], 2 * r["size"]) for k, r in a.items())
-    goal = mix.targets({"a": 100, "b": 100, None: 1000})
-    assert goal == {"a": 200, "b": 200, None: 1400}
+    source = dict(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "source").collect())
+    sizes = Counter()
+    for k, r in a.items():
+        sizes[source[k]] += r["size"]
+    goal = brute.targets(sizes)
+    assert all(r["source_size"] == sizes[source[k]] and r["target"] == pytest.approx(goal[source[k]]) for k, r in a.items())
+    for s in sizes:
+        assert abs(sum(r["taken"] for k, r in a.items() if source[k] == s) - goal[s]) <= max(r["size"] for k, r in a.items() if source[k] == s)
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, None: 1000}, {"z": 5, "é": 0, "": 7}, {None: 3}, {f"host{i}": i * i % 97 for i in range(300)}])
+def test_targets(spark, sizes):
+    got = mix.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    assert {r.source: r.target for r in got} == pytest.approx(brute.targets(sizes), abs=1e-6)
+    assert [r.source for r in sorted(got, key=lambda r: r.source_key)] == sorted(sizes, key=lambda s: (s is None, s or ""))
+
+
+def test_mix_of_repeated_rows(spark, monkeypatch):
+    """Three quarters of the rows are equal, others share an id or have none; blocks are small and even, targets are met by rows."""
+    monkeypatch.setattr(mix, "BLOCK", 64)
+    monkeypatch.setattr(mix, "PIECE", 100)
+    made = [(1, "a b c d", "a", None)] * 900 + [(None, "w " * (1 + i % 30), "b", "t") for i in range(300)] + [(2, f"x y {i}", "c", None) for i in range(200)]
+    made += [(i, "u " * (i % 50), "c", None) for i in range(3, 300)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string, extra string")
+    sizes = Counter()
+    for _, t, s, _ in made:
+        sizes[s] += len(t.split())
+    goal, blocks = brute.targets(sizes), []
+    decide = mix._decide
+    monkeypatch.setattr(mix, "_decide", lambda df, last: blocks.append(df.groupBy("source_key", "block").count()) or decide(df, last))
+    once = mix.mix_sources(docs).collect()
+    assert max(r["count"] for r in blocks[0].collect()) < 2 * 64 and len(once) == len(made)
+    assert sorted(once, key=str) == sorted(mix.mix_sources(docs.repartition(3)).collect(), key=str)
+    taken = Counter()
+    for r in mix.mixed(docs).collect():
+        taken[r.source] += len(r.text.split())
+    kept, have = Counter(map(tuple, mix.mixed(docs).collect())), Counter(made)
+    assert all(n <= 2 * have[r] for r, n in kept.items())
+    for s, n in goal.items():
+        assert abs(taken[s] - n) <= 50, s
+    assert abs(sum(r.taken for r in once) - sum(goal.values())) <= 150
 
 
 def test_toxicity(spark):

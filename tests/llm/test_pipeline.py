@@ -14,7 +14,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from entiprof.llm import mix  # noqa: E402
 
 STAGES = dict(corpus_pipeline.STAGES)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra array<int>"
@@ -90,7 +89,7 @@ def test_mix_stage(spark, folder):
     got = STAGES["mix"](spark, docs, folder).collect()
     size = {r[0]: len(brute.WORD.findall(r[1] or "")) for r in rows}
     assert set(counted(got)) <= set(counted(rows)) and max(counted(got).values()) <= 2
-    goal = mix.targets({s: sum(size[r[0]] for r in rows if r[3] == s) for s in {r[3] for r in rows}})
+    goal = brute.targets({s: sum(size[r[0]] for r in rows if r[3] == s) for s in {r[3] for r in rows}})
     for s, n in goal.items():
         assert abs(sum(size[r.doc_id] for r in got if r.source == s) - n) <= max(size[r[0]] for r in rows if r[3] == s)
 

@@ -24,6 +24,7 @@ from entiprof.operators.lookups import (
     join_chain,
     lookup_fallback,
     repeat_join,
+    repeat_rows,
     rows_per_key,
 )
 from entiprof.operators.ranks import joined_max_by_number, ordered_numbers
@@ -32,5 +33,5 @@ from entiprof.operators.skew import Skew, heavy_values
 __all__ = [
     "JoinStep", "LatestTarget", "Skew", "attribute_lookup", "attribute_values", "conditional_span", "conditional_span_joined", "first_match", "group_argmax_row", "group_maxes", "heavy_values",
     "join_chain", "joined_max", "joined_max_by_number", "last_id", "latest_preferred", "latest_preferred_since", "latest_rows",
-    "lookup_fallback", "ordered_numbers", "repeat_entities", "repeat_join", "rows_per_key", "set_concat", "sorted_set_text", "sum_count",
+    "lookup_fallback", "ordered_numbers", "repeat_entities", "repeat_join", "repeat_rows", "rows_per_key", "set_concat", "sorted_set_text", "sum_count",
 ]

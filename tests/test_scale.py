@@ -107,3 +107,27 @@ def test_changed_id_semi_joins_are_broadcast_up_front(spark):
     semi = re.findall(r"(BroadcastHashJoin|SortMergeJoin) \[[^\]]*\], \[[^\]]*__restrict_key[^\]]*\], LeftSemi", initial)
     assert len(semi) >= 12
     assert all(kind == "BroadcastHashJoin" for kind in semi)
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    """A broadcast passes through the driver whole, and the build joins dozens of tables that grow with the leads."""
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "10485760"}):
+        built = assemble.build_profiles(Q._roles(spark, SF_SMALL), since=Q.ROLE_PERIOD_START, materialize_mode="table")
+        for df in (built.filter, built.data):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastHashJoin") <= 3 < plan.count("SortMergeJoin")  # languages (twice) and roles
+        base = assemble.assemble_base(Q._roles(spark, SF_SMALL))
+        plan = base._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2  # stages and their states
+        built.release()
+
+
+def test_large_change_sets_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(assemble, "PUSHED_IDS", 5)
+    roles = Q._roles(spark, SF_SMALL)
+    stage = assemble.Stage(spark, "table")
+    for ids, kind in ((roles["lead"].select("id").limit(3), "BroadcastHashJoin"), (roles["lead"].select("id"), "SortMergeJoin")):
+        cut = assemble._restrict_lead_keyed(dict(roles), ids, stage)["applied_job"]
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert f"{kind} [" in plan and cut.count() == roles["applied_job"].join(ids, F.col("lead_id") == ids["id"], "left_semi").count()
+    stage.release()

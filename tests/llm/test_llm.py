@@ -439,3 +439,22 @@ def test_odd_and_empty_tables(spark, name):
     docs = odd(spark)
     assert run(docs).count() == docs.count()
     assert run(docs.limit(0)).count() == 0
+
+
+def test_every_training_window_is_learned_from(spark):
+    """All windows of the training texts are gathered, and packed so that what is learned from stays the same."""
+    import public_tokenizers
+
+    rng = np.random.default_rng(4)
+    ids, first = rng.integers(0, lm.V, 400).astype(np.int16), np.array([0, 1, 17, 33, 60, 400])
+    x, valid, y, _ = lm.windows(ids, first)
+    x2, valid2, y2 = lm.unpack(lm.pack(x, valid, y).tobytes())
+    live = valid[:, lm.WINDOW - lm.STRIDE :]
+    assert (valid == valid2).all() and (x == x2)[valid].all() and (y == y2)[live].all()
+    docs = spark.createDataFrame([(1, "one two three " * 40), (2, ""), (None, "four"), (2, "five six")], "doc_id long, text string")
+    spec = lm.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    got = lm._gather(docs, spec).where("what = 2")
+    raw = [r.text.encode() for r in docs.collect()]
+    _, _, ids, first = lm.Subwords(spec).encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert got.count() == len(lm.windows(ids, first)[0]) > 10
+    assert sum(int(lm.unpack(r.payload)[1][:, lm.WINDOW - lm.STRIDE :].sum()) for r in got.collect()) == len(ids)

@@ -13,7 +13,8 @@ A block is the texts of one or two megabytes (a longer text is a block by itself
 Its distinct id pairs go into the count of documents that hold a pair; what
 comes back are the counts of the block's pairs, one row a block, so neither a
 frequent pair nor a long text makes a large group. Two stored tables cut the
-lineage.
+lineage; that of blocks has row groups of few blocks, since writing and reading hold a
+row group whole.
 
 Null and empty texts, and texts whose joined token bytes differ from space and text in
 one of the tokenizers, have no tokens: zeros and an empty string. Each row counts
@@ -40,6 +41,8 @@ from entiprof.llm.common import give_back, row_slices, ship, stored, texts
 
 #: Bytes of text in a block, about; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Row groups of the stored blocks: a block has some megabytes, and Parquet else looks at the size of 100 rows first.
+FEW_BLOCKS = {"parquet.block.row.count.limit": "8", "parquet.block.size": str(1 << 22), "parquet.page.size.row.check.min": "1"}
 #: Entries that a row product expands at once.
 EXPANDED = 1 << 21
 
@@ -285,7 +288,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 
 def _aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str, digest: bool) -> DataFrame:
     ship(docs.sparkSession)
-    blocks = stored(_blocks(texts(docs, id_col, text_col), a_path, b_path, digest), "align-blocks")
+    blocks = stored(_blocks(texts(docs, id_col, text_col), a_path, b_path, digest), "align-blocks", **FEW_BLOCKS)
     places = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
     counted = places.join(pair_counts(blocks), "pair").groupBy("block").agg(F.collect_list(F.struct("place", "n", "best")).alias("counted"))
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from conftest import SF_SMALL
@@ -102,3 +103,24 @@ def test_products(monkeypatch, expanded):
         assert (got == x @ y).all()
         back = align.transpose(align.transpose(sparse[1]))
         assert all((u == v).all() for u, v in zip(back[:3], sparse[1][:3]))
+
+
+def test_stored_blocks_stand_in_small_row_groups(spark, monkeypatch, tmp_path):
+    """Writing and reading hold a row group whole, so it must not grow with the blocks of a task."""
+    made, stored = {}, align.stored
+
+    def kept(df, name, **options):
+        made[name] = stored(df, name, **options)
+        return made[name]
+
+    monkeypatch.setattr(align, "stored", kept)
+    monkeypatch.setattr(align, "BLOCK_BYTES", 1)  # a text a block
+    docs = spark.range(0, 150, 1, 1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    assert align.align(docs, A_PATH, B_PATH).count() == 150
+    found = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in made["align-blocks"].inputFiles()]
+    groups = [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]
+    assert sum(groups) == 150 and max(groups) <= 8
+    # by size too: three rows of 3 MB of noise are more than a row group holds
+    noise = spark.range(0, 3, 1, 1).selectExpr("id", "transform(sequence(1, 400000), i -> xxhash64(id, i)) AS x")
+    files = stored(noise, "noise", **align.FEW_BLOCKS).inputFiles()
+    assert sum(pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in files) > 1

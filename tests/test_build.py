@@ -94,3 +94,50 @@ def test_repeat_join(spark):
     got = sorted(((r.k, r.v, r.w) for r in repeat_join(left, counted, "k").collect()), key=str)
     assert got == sorted([(1, v, w) for v in "ab" for w in ("x", "x", None)] + [(2, "c", None), (None, "d", None)], key=str)
     assert {(r.k, r.copies) for r in rows_per_key(left, "k").collect()} == {(1, 2), (2, 1)}
+
+
+def test_gathered_areas_equal_a_row_each(spark):
+    """Areas and job locations that repeat, are NULL or are missing: the sets stand for the rows of the plain chain."""
+    rnd = random.Random(5)
+    draw = lambda n: rnd.choice([None, *range(n), *range(n), *range(n)])
+
+    def table(columns, rows, *ranges):
+        made = [(i, *[draw(n) for n in ranges]) for i in range(rows)]
+        return spark.createDataFrame(made + made[:3], ", ".join(f"{x} long" for x in columns.split()))
+
+    t = {
+        "lead": table("id company_id candidate_profile_id job_loc_id", 60, 3, 20, 4),
+        "lead_extra": table("id lead_id journey_stage_id journey_status_id job_req_id", 90, 50, 3, 3, 6),
+        "candidate_profile": table("id", 20), "journey_stage": table("id company_id", 3, 3), "stage_status": table("id stage_id", 3, 3),
+        "job_loc": table("id is_deleted", 4, 2), "job": table("id job_req_id base_id company_brand_id", 10, 6, 4, 4),
+        "company_brand": table("id status", 4, 2), "live_job": table("id job_id job_req_id job_loc_id", 30, 10, 6, 4),
+        "event_itv_lead": table("id lead_id", 40, 60), "previous_application": table("id application_id", 40, 60),
+        "job_location": table("id job_id company_area_id", 90, 10, 12).withColumn("id", F.expr("nullif(id, 5)")),
+    }
+    areas = [(draw(12), draw(4), draw(3)) for _ in range(40)]
+    t["company_area"] = spark.createDataFrame(areas + areas[:9] + [(None, 1, 1), (None, 1, 1), (None, 2, 0)], "id long, job_loc_id long, company_id long")
+
+    def counts(df, *columns, n):
+        return sorted(map(tuple, df.select(*[F.expr(f"{x} AS c{i}") for i, x in enumerate(columns)], n.alias("n")).groupBy(*[f"c{i}" for i in range(len(columns))]).agg(F.sum("n")).collect()), key=str)
+
+    one, own = F.lit(1), ("lead.id", "lead.job_loc_id", "extra.id", "job.id", "jl.id", "live.id")
+    plain = assemble.assemble_base(t)
+    assert plain.where("jloc.id IS NOT NULL").count() > 100 and plain.where("area.job_loc_id IS NOT NULL AND area.id IS NULL").count() > 5
+    for heavy in (None, {"jloc.company_area_id": {3: 4}, "lk.job_loc_id": {1: 3, 2: 2}}):
+        got = assemble.gathered_base(t, heavy)
+        assert counts(got, *own, n=F.col("__rows")) == counts(plain, *own, n=one)
+        by_area = got.select("*", F.explode("__areas").alias("a"))
+        assert counts(by_area, *own, "a", n=F.col("__times")) == counts(plain, *own, "area.id", n=one)
+        by_place = got.select("*", F.explode("__places").alias("p"))
+        assert counts(by_place, *own, "p.id", n=F.col("p.rows")) == counts(plain, *own, "jloc.id", n=one)
+
+
+def test_stored_rows_do_not_grow_with_the_areas_of_a_place(spark):
+    roles = dict(_roles(spark, SF_SMALL))
+    places = roles["lead"].select("job_loc_id", "company_id").distinct()
+    made = []
+    for n in (1, 6):
+        roles["company_area"] = places.withColumn("id", F.explode(F.sequence(F.lit(1000001).cast("long"), F.lit(1000000 + n).cast("long"))))
+        made.append(assemble.build_profiles(roles, since=ROLE_PERIOD_START))
+    one, six = made
+    assert six.counted_data.count() == one.counted_data.count() and six.data.count() > 6 * one.data.count()
